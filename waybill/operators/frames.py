@@ -40,8 +40,16 @@ def group_values(
     and joined back, so that a hot group is spread instead of buffered whole.
     Rows with a NULL key get NULL.
     """
-    totals = df.groupBy(*keys).agg(*[e.alias(n) for n, e in values.items()])
-    return spread_join(df, totals, keys, spread_by, how="left").select(*df.columns, *values)
+    totals = group_totals(df, keys, values)
+    joined = spread_join(df, totals, keys, spread_by, how="left", rows="_rows")
+    return joined.select(*df.columns, *values)
+
+
+def group_totals(df: DataFrame, keys: Sequence[str], values: dict[str, Column]) -> DataFrame:
+    """Aggregates per key and the number of rows behind them as ``_rows``."""
+    return df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_rows"), *[e.alias(n) for n, e in values.items()]
+    )
 
 
 def impute_group_median(

@@ -18,6 +18,7 @@ def spread_join(
     on: Sequence[str],
     spread_by: Sequence[str],
     how: str = "inner",
+    rows: str | None = None,
     hot_rows: int = HOT_ROWS,
     parts: int = 64,
 ) -> DataFrame:
@@ -28,16 +29,19 @@ def spread_join(
     So the rows of hot keys get a salt from a hash of ``spread_by`` (columns that
     tell them apart) and their single ``small`` row is repeated once per salt.
     Cold keys keep salt 0 and are not repeated.
+
+    ``rows`` names a column of ``small`` that holds (at least) the number of
+    ``big`` rows of its key; without it they are counted, which reads ``big`` twice.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
     on = list(on)
-    hot = (
-        big.groupBy(*on)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > hot_rows)
-        .select(*on, F.lit(True).alias("_hot"))
-    )
+    if rows is None:
+        counted = big.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
+    else:
+        counted = small.select(*on, F.col(rows).alias("_rows"))
+        small = small.drop(rows)
+    hot = counted.where(F.col("_rows") > hot_rows).select(*on, F.lit(True).alias("_hot"))
     salt = F.pmod(F.xxhash64(*spread_by), F.lit(parts)).cast("int")
     left = big.join(F.broadcast(hot), on, "left").withColumn(
         "_salt", F.when(F.col("_hot"), salt).otherwise(0)

@@ -18,11 +18,18 @@ class Tables:
     def __init__(self, spark: SparkSession, directory: str):
         self.spark = spark
         self.directory = directory.rstrip("/")
+        self._schemas: dict = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        path = f"{self.directory}/{name}.parquet"
+        # The schema is read from the files once; later uses skip the footers.
+        if name in self._schemas:
+            return self.spark.read.schema(self._schemas[name]).parquet(path)
+        df = self.spark.read.parquet(path)
+        self._schemas[name] = df.schema
+        return df
 
 
 def register_views(spark: SparkSession, directory: str, names: list[str] | None = None) -> None:
