@@ -1,7 +1,8 @@
 """Contingency tables in long form ``(a, b, n)`` and tests on them.
 
 The facts are counted once per (a, b) with map-side combine; everything after
-works on that table, whose size is levels x levels.
+works on that table, whose size is levels x levels. Facts that are counted
+already pass their count as ``weight``.
 """
 
 from __future__ import annotations
@@ -30,9 +31,16 @@ def pair_counts(df: DataFrame, a: str, b: str, weight: Column | None = None) ->
     return df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(a, b).agg(n.alias("n"))
 
 
-def crosstab(df: DataFrame, a: str, b: str, margins: bool = False, total: str = "All") -> DataFrame:
+def crosstab(
+    df: DataFrame,
+    a: str,
+    b: str,
+    margins: bool = False,
+    total: str = "All",
+    weight: Column | None = None,
+) -> DataFrame:
     """Counts of every (a, b) cell, empty ones as 0, optionally with margin rows."""
-    counts = pair_counts(df, a, b)
+    counts = pair_counts(df, a, b, weight)
     grid = counts.select(a).distinct().withColumn(b, F.explode(_levels(counts, b)))
     cells = grid.join(counts, [a, b], "left").select(a, b, F.coalesce("n", F.lit(0)).alias("n"))
     if not margins:
@@ -60,9 +68,9 @@ def _sums(cells: DataFrame, a: str, b: str) -> DataFrame:
     )
 
 
-def conditional(df: DataFrame, a: str, b: str) -> DataFrame:
+def conditional(df: DataFrame, a: str, b: str, weight: Column | None = None) -> DataFrame:
     """Joint, conditional and marginal relative frequencies of each cell."""
-    cells = _sums(crosstab(df, a, b), a, b)
+    cells = _sums(crosstab(df, a, b, weight=weight), a, b)
     return cells.select(
         a,
         b,
@@ -75,23 +83,25 @@ def conditional(df: DataFrame, a: str, b: str) -> DataFrame:
     )
 
 
-def expected(df: DataFrame, a: str, b: str) -> DataFrame:
+def expected(df: DataFrame, a: str, b: str, weight: Column | None = None) -> DataFrame:
     """Expected counts under independence and observed minus expected."""
-    cells = _sums(crosstab(df, a, b), a, b)
+    cells = _sums(crosstab(df, a, b, weight=weight), a, b)
     e = safe_ratio(F.col("_row").cast("double") * F.col("_col"), "_all")
     return cells.select(
         a, b, F.col("n").alias("observed"), e.alias("expected"), (F.col("n") - e).alias("residual")
     )
 
 
-def chi2_independence(df: DataFrame, a: str, b: str, yates: bool = False) -> DataFrame:
+def chi2_independence(
+    df: DataFrame, a: str, b: str, yates: bool = False, weight: Column | None = None
+) -> DataFrame:
     """Chi-square test of independence: statistic, degrees of freedom, p-value.
 
     ``yates=True`` moves each cell towards its expectation by up to one half in
     the case of one degree of freedom.
     """
-    cells = expected(df, a, b)
-    shape = pair_counts(df, a, b).agg(
+    cells = expected(df, a, b, weight)
+    shape = pair_counts(df, a, b, weight).agg(
         ((F.count_distinct(a) - 1) * (F.count_distinct(b) - 1)).alias("dof")
     )
     gap = F.abs(F.col("residual"))

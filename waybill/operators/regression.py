@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waybill.operators.frames import dummies, levels_of
+from waybill.sources import from_rows
 
 _COEFFICIENTS = "term string, coefficient double, std_error double, statistic double, p_value double"
 _QUALITY = "n long, r2 double, adjusted_r2 double, mse double"
@@ -132,9 +133,11 @@ def ols(df: DataFrame, y: str, design: Design) -> OlsFit:
         design,
         y,
         model,
-        spark.createDataFrame([(a, *map(float, b)) for a, *b in rows], _COEFFICIENTS),
-        spark.createDataFrame(
-            [(int(s.numInstances), float(s.r2), float(s.r2adj), float(s.meanSquaredError))], _QUALITY
+        from_rows(spark, [(a, *map(float, b)) for a, *b in rows], _COEFFICIENTS),
+        from_rows(
+            spark,
+            [(int(s.numInstances), float(s.r2), float(s.r2adj), float(s.meanSquaredError))],
+            _QUALITY,
         ),
     )
 
@@ -185,7 +188,7 @@ def logit_fit(df: DataFrame, y: str, xs: Sequence[str], pre_aggregate: bool = Tr
         ]
     finally:
         data.unpersist()
-    return df.sparkSession.createDataFrame(rows, _COEFFICIENTS)
+    return from_rows(df.sparkSession, rows, _COEFFICIENTS)
 
 
 def logistic_scores(df: DataFrame, y: str, xs: Sequence[str]) -> DataFrame:
