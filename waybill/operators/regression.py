@@ -156,14 +156,17 @@ def compare_models(fits: Mapping[str, OlsFit]) -> DataFrame:
 def logit_fit(df: DataFrame, y: str, xs: Sequence[str], pre_aggregate: bool = True) -> DataFrame:
     """Logistic regression: coefficients, standard errors, z and p.
 
-    With ``pre_aggregate`` equal rows are first counted and used as weights,
-    which leaves the fit unchanged and shrinks discrete data to a few rows.
+    With ``pre_aggregate`` rows with equal regressors become one row with their
+    share of successes and their number as weight. The likelihood is the same, and
+    discrete data shrink to a few rows before the iterations start.
     """
     data = df.dropna("any", subset=[y, *xs]).select(
         *[F.col(c).cast("double").alias(c) for c in (y, *xs)]
     )
     if pre_aggregate:
-        data = data.groupBy(y, *xs).agg(F.count(F.lit(1)).cast("double").alias("_w"))
+        data = data.groupBy(*xs).agg(
+            F.avg(y).alias(y), F.count(F.lit(1)).cast("double").alias("_w")
+        )
     else:
         data = data.withColumn("_w", F.lit(1.0))
     data = VectorAssembler(inputCols=list(xs), outputCol="_features").transform(data).persist()
