@@ -42,7 +42,7 @@ def change_value(document: Column | str, field: str) -> Column:
     An update stores ``[before, after]``, a creation stores the bare value;
     JSON null, a missing field and a malformed document all give NULL.
     """
-    doc = F.try_parse_json(_col(document))
-    array = F.try_variant_get(doc, f"$.{field}", "array<string>")
-    scalar = F.try_variant_get(doc, f"$.{field}", "string")
-    return F.when(F.size(array) == 2, F.get(array, F.lit(1))).otherwise(scalar)
+    raw = F.get_json_object(_col(document), f"$.{field}")
+    after = F.get_json_object(_col(document), f"$.{field}[1]")
+    pair = raw.startswith("[") & (F.json_array_length(raw) == 2)
+    return F.when(pair, after).otherwise(raw)

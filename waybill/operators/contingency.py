@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waybill.functions import chi2_sf, safe_ratio
+from waybill.operators.staging import staged
 
 # Bound on the levels of a category; exceeding it is an error, never a cut.
 MAX_LEVELS = 100_000
@@ -26,9 +27,19 @@ def _levels(counts: DataFrame, column: str) -> Column:
 
 
 def pair_counts(df: DataFrame, a: str, b: str, weight: Column | None = None) -> DataFrame:
-    """Observed cells only. Rows with a NULL in either column are left out."""
+    """Observed cells only. Rows with a NULL in either column are left out.
+
+    The cells are kept, so that the facts are read once for all that follows.
+    """
     n = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    return df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(a, b).agg(n.alias("n"))
+    known = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
+    return staged(known.groupBy(a, b).agg(n.alias("n")))
+
+
+def _filled(counts: DataFrame, a: str, b: str) -> DataFrame:
+    """The cells with empty ones as 0."""
+    grid = counts.select(a).distinct().withColumn(b, F.explode(_levels(counts, b)))
+    return grid.join(counts, [a, b], "left").select(a, b, F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def crosstab(
@@ -40,9 +51,7 @@ def crosstab(
     weight: Column | None = None,
 ) -> DataFrame:
     """Counts of every (a, b) cell, empty ones as 0, optionally with margin rows."""
-    counts = pair_counts(df, a, b, weight)
-    grid = counts.select(a).distinct().withColumn(b, F.explode(_levels(counts, b)))
-    cells = grid.join(counts, [a, b], "left").select(a, b, F.coalesce("n", F.lit(0)).alias("n"))
+    cells = _filled(pair_counts(df, a, b, weight), a, b)
     if not margins:
         return cells
     texts = cells.select(F.col(a).cast("string").alias(a), F.col(b).cast("string").alias(b), "n")
@@ -57,9 +66,9 @@ def crosstab(
     )
 
 
-def _sums(cells: DataFrame, a: str, b: str) -> DataFrame:
-    whole = cells.agg(F.sum("n")).scalar()
-    return cells.withColumns(
+def _sums(counts: DataFrame, a: str, b: str) -> DataFrame:
+    whole = counts.agg(F.sum("n")).scalar()
+    return _filled(counts, a, b).withColumns(
         {
             "_row": F.sum("n").over(Window.partitionBy(a)),
             "_col": F.sum("n").over(Window.partitionBy(b)),
@@ -70,7 +79,7 @@ def _sums(cells: DataFrame, a: str, b: str) -> DataFrame:
 
 def conditional(df: DataFrame, a: str, b: str, weight: Column | None = None) -> DataFrame:
     """Joint, conditional and marginal relative frequencies of each cell."""
-    cells = _sums(crosstab(df, a, b, weight=weight), a, b)
+    cells = _sums(pair_counts(df, a, b, weight), a, b)
     return cells.select(
         a,
         b,
@@ -85,7 +94,11 @@ def conditional(df: DataFrame, a: str, b: str, weight: Column | None = None) ->
 
 def expected(df: DataFrame, a: str, b: str, weight: Column | None = None) -> DataFrame:
     """Expected counts under independence and observed minus expected."""
-    cells = _sums(crosstab(df, a, b, weight=weight), a, b)
+    return _expected(pair_counts(df, a, b, weight), a, b)
+
+
+def _expected(counts: DataFrame, a: str, b: str) -> DataFrame:
+    cells = _sums(counts, a, b)
     e = safe_ratio(F.col("_row").cast("double") * F.col("_col"), "_all")
     return cells.select(
         a, b, F.col("n").alias("observed"), e.alias("expected"), (F.col("n") - e).alias("residual")
@@ -100,10 +113,9 @@ def chi2_independence(
     ``yates=True`` moves each cell towards its expectation by up to one half in
     the case of one degree of freedom.
     """
-    cells = expected(df, a, b, weight)
-    shape = pair_counts(df, a, b, weight).agg(
-        ((F.count_distinct(a) - 1) * (F.count_distinct(b) - 1)).alias("dof")
-    )
+    counts = pair_counts(df, a, b, weight)
+    cells = _expected(counts, a, b)
+    shape = counts.agg(((F.count_distinct(a) - 1) * (F.count_distinct(b) - 1)).alias("dof"))
     gap = F.abs(F.col("residual"))
     if yates:
         dof = shape.scalar()
@@ -118,11 +130,8 @@ def chi2_independence(
 
 def total_probability(df: DataFrame, event: Column, given: str) -> DataFrame:
     """P(event) directly and as the sum of P(event | g) P(g), which must agree."""
-    parts = (
-        df.where(F.col(given).isNotNull())
-        .groupBy(given)
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(event.cast("long")).alias("k"))
-    )
+    known = df.where(F.col(given).isNotNull()).groupBy(given)
+    parts = staged(known.agg(F.count(F.lit(1)).alias("n"), F.sum(event.cast("long")).alias("k")))
     n = F.sum("n")
     total = parts.agg(F.sum("n")).scalar()
     return parts.agg(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from waybill.functions import log_choose, log_factorial, safe_ratio
 from waybill.operators.ordered import number_chunk, running_totals
 from waybill.operators.quality import histogram
+from waybill.operators.staging import one_row, staged
 
 
 def empirical(df: DataFrame, column: str) -> DataFrame:
@@ -98,7 +99,11 @@ def interval_counts(df: DataFrame, ts: str, unit: str = "hour") -> DataFrame:
     per_day = {"hour": 24, "day": 1}[unit]
     day = F.unix_date(F.col(ts).cast("date")).cast("long") * per_day
     slot = day + F.hour(ts) if unit == "hour" else day
-    counts = df.where(F.col(ts).isNotNull()).groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("n"))
+    counts = staged(
+        df.where(F.col(ts).isNotNull())
+        .groupBy(slot.alias("slot"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
     span = counts.agg(F.min("slot").alias("lo"), F.max("slot").alias("hi")).where("lo IS NOT NULL")
     grid = span.select(F.explode(F.sequence("lo", "hi")).alias("slot"))
     return grid.join(counts, "slot", "left").select("slot", F.coalesce("n", F.lit(0)).alias("n"))
@@ -115,14 +120,13 @@ def poisson_fit(counts: DataFrame, column: str = "n") -> DataFrame:
         safe_ratio(F.var_samp(column), F.avg(column)).alias("dispersion"),
         F.count(F.lit(1)).alias("total"),
     )
-    rate = facts.select("rate").scalar()
-    return by_count.select(
+    return by_count.withColumn("_f", one_row(facts)).select(
         "x",
         "intervals",
-        safe_ratio("intervals", facts.select("total").scalar()).alias("observed"),
-        poisson_pmf(F.col("x"), rate).alias("poisson"),
-        rate.alias("rate"),
-        facts.select("dispersion").scalar().alias("dispersion"),
+        safe_ratio("intervals", "_f.total").alias("observed"),
+        poisson_pmf(F.col("x"), F.col("_f.rate")).alias("poisson"),
+        "_f.rate",
+        "_f.dispersion",
     )
 
 
@@ -167,11 +171,11 @@ def normal_fit(df: DataFrame, column: str) -> DataFrame:
         F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"), F.count("v").alias("total")
     )
     counts = values.groupBy(F.floor("v").alias("x")).agg(F.count(F.lit(1)).alias("n"))
-    mean, std = facts.select("mean").scalar(), facts.select("std").scalar()
-    return counts.select(
+    mean, std = F.col("_f.mean"), F.col("_f.std")
+    return counts.withColumn("_f", one_row(facts)).select(
         "x",
         "n",
-        safe_ratio("n", facts.select("total").scalar()).alias("observed"),
+        safe_ratio("n", "_f.total").alias("observed"),
         _normal_pdf(F.col("x").cast("double"), mean, std).alias("normal_density"),
         mean.alias("mean"),
         std.alias("std"),
@@ -225,8 +229,7 @@ def best_fit(df: DataFrame, column: str, bins: int = 200) -> DataFrame:
         F.avg(F.when(F.col("v") > 0, F.ln("v"))).alias("log_mean"),
         F.stddev_pop(F.when(F.col("v") > 0, F.ln("v"))).alias("log_std"),
     )
-    packed = stats.select(F.struct(*stats.columns)).scalar()
-    shape = histogram(values, "v", bins).withColumn("_s", packed)
+    shape = histogram(values, "v", bins).withColumn("_s", one_row(stats))
     fits = _densities(F.col("midpoint"), lambda name: F.col(f"_s.{name}"))
     errors = shape.select(
         *[F.pow(F.col("density") - e, F.lit(2.0)).alias(name) for name, e in fits.items()]
@@ -266,27 +269,37 @@ def sampling_distribution(
 ) -> DataFrame:
     """Successes in each of ``replicates`` seeded samples of ``n`` rows without replacement.
 
-    A replicate takes the ``n`` rows with the smallest hash of (keys, replicate,
-    seed). Rows whose hash is far above the n-th smallest are dropped before the
-    shuffle; the margin is twelve standard deviations, so a short sample does not
-    occur in practice and would show in ``drawn``.
+    Every row enters every replicate with the same small probability, decided by
+    hashes of (keys, seed); of the rows that entered, the ``n`` with the smallest
+    hash are kept. The probability leaves twelve standard deviations of room, so
+    a short sample does not occur in practice and would show in ``drawn``.
+
+    The first replicate a row enters follows from one hash (the gap between
+    entries is geometric); nearly all rows enter none and stop there.
     """
     total = df.agg(F.count(F.lit(1))).scalar()
     share = F.least(F.lit(1.0), F.lit(n + 12 * math.sqrt(n) + 144) / total)
-    base = df.select(*keys, flag.cast("int").alias("_hit")).withColumn("_share", share)
-
-    def draw(i: Column) -> Column:
-        h = F.xxhash64(*[F.col(k) for k in keys], i, F.lit(seed))
-        return F.pmod(h, F.lit(1 << 52)) / float(1 << 52)
-
-    picks = base.withColumn(
-        "replicate",
-        F.explode(
-            F.filter(
-                F.sequence(F.lit(1), F.lit(replicates)), lambda i: draw(i) < F.col("_share")
-            )
-        ),
-    ).withColumn("_u", draw(F.col("replicate")))
+
+    def uniform(*parts: Column) -> Column:
+        h = F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(seed), *parts), F.lit(1 << 52))
+        return (h + 0.5) / float(1 << 52)
+
+    gap = F.ceil(F.ln(uniform(F.lit("first"))) / F.ln(1 - F.col("_share")))
+    entered = (
+        df.select(*keys, flag.cast("int").alias("_hit"))
+        .withColumn("_share", share)
+        .withColumn("_first", F.when(F.col("_share") >= 1, 1).otherwise(gap))
+        .where(F.col("_first") <= replicates)
+        .withColumn("_first", F.col("_first").cast("int"))
+    )
+    later = F.filter(
+        F.sequence(F.lit(1), F.lit(replicates)),
+        lambda i: (i == F.col("_first"))
+        | ((i > F.col("_first")) & (uniform(F.lit("later"), i) < F.col("_share"))),
+    )
+    picks = entered.withColumn("replicate", F.explode(later)).withColumn(
+        "_u", uniform(F.lit("order"), F.col("replicate"))
+    )
     w = Window.partitionBy("replicate").orderBy("_u", *keys)
     sample = picks.withColumn("_place", F.row_number().over(w)).where(F.col("_place") <= n)
     return sample.groupBy("replicate").agg(

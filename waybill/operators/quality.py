@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from waybill.functions import safe_ratio
 from waybill.operators.ordered import quantiles, running_totals
+from waybill.operators.staging import one_row, staged
 
 
 def null_profile(df: DataFrame) -> DataFrame:
@@ -110,26 +111,38 @@ def histogram(
             F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
             F.when(F.col("lo") == F.col("hi"), F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
         )
-        lo, hi = span.select("lo").scalar(), span.select("hi").scalar()
+        placed = values.withColumn("_span", one_row(span))
+        lo, hi = F.col("_span.lo"), F.col("_span.hi")
     else:
+        placed = values
         lo, hi = F.lit(float(bounds[0])), F.lit(float(bounds[1]))
     width = (hi - lo) / bins
     place = F.least(F.floor((F.col("x") - lo) / width), F.lit(bins - 1)).cast("int")
-    counts = (
-        values.where((F.col("x") >= lo) & (F.col("x") <= hi))
+    # The bins are kept together with their bounds: two passes over the facts in all.
+    counts = staged(
+        placed.where((F.col("x") >= lo) & (F.col("x") <= hi))
         .groupBy(place.alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.lit(1)).alias("n"), F.first(lo).alias("lo"), F.first(hi).alias("hi"))
+    )
+    known = one_row(
+        counts.agg(F.sum("n").alias("total"), F.first("lo").alias("lo"), F.first("hi").alias("hi"))
     )
-    grid = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
-    full = grid.join(counts, "bin", "left").select(
+    grid = df.sparkSession.range(bins).select(
+        F.col("id").cast("int").alias("bin"), known.alias("_known")
+    )
+    if bounds is None:
+        lo, hi = F.col("_known.lo"), F.col("_known.hi")
+        width = (hi - lo) / bins
+    total = F.col("_total")
+    full = grid.where("_known.total IS NOT NULL").join(counts.select("bin", "n"), "bin", "left").select(
         "bin",
         (lo + F.col("bin") * width).alias("left_edge"),
         (lo + (F.col("bin") + 1) * width).alias("right_edge"),
         (lo + (F.col("bin") + 0.5) * width).alias("midpoint"),
         F.coalesce("n", F.lit(0)).alias("n"),
         width.alias("_width"),
+        F.col("_known.total").alias("_total"),
     )
-    total = counts.agg(F.sum("n")).scalar()
     summed = running_totals(full, [], ["bin"], {"_cum": F.col("n")}, F.floor(F.col("bin") / 1000))
     return summed.select(
         "bin",

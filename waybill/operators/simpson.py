@@ -6,11 +6,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waybill.functions import safe_ratio
+from waybill.operators.staging import staged
 
 
 def stratum_counts(df: DataFrame, group: str, stratum: str, num: Column, den: Column) -> DataFrame:
-    """Numerator and denominator of each group and stratum."""
-    return df.groupBy(group, stratum).agg(F.sum(num).alias("num"), F.sum(den).alias("den"))
+    """Numerator and denominator of each group and stratum, kept for the comparisons below."""
+    return staged(
+        df.groupBy(group, stratum).agg(F.sum(num).alias("num"), F.sum(den).alias("den"))
+    )
 
 
 def standardised_rate(counts: DataFrame, group: str, stratum: str) -> DataFrame:

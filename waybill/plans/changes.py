@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from waybill.functions import change_value, lenient_date, strip_quotes
 from waybill.operators.ordered import hour_chunk, quantiles, with_history
+from waybill.operators.staging import staged
 
 
 def change_extract(
@@ -52,9 +53,10 @@ def change_trail(
     """Each change with its order, previous and first date and the days moved.
 
     Text that is no date becomes NULL. The first record of a key has no distance
-    to the first. Keys of any size are handled hour by hour (``chunk``).
+    to the first. Keys of any size are handled hour by hour (``chunk``). The dated
+    changes, usually a join of several tables, are read twice and therefore kept.
     """
-    dated = changes.withColumn("change_date", lenient_date(strip_quotes(value)))
+    dated = staged(changes.withColumn("change_date", lenient_date(strip_quotes(value))))
     trail = with_history(
         dated,
         [key],

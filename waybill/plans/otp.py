@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from waybill.functions import boundary_diff, quarter_start, same_text, truthy
 from waybill.operators.frames import group_totals
 from waybill.operators.joins import spread_join
+from waybill.operators.staging import staged
 
 PORT_DOOR, PORT_PORT = "Port to Door", "Port to Port"
 DOOR_PORT, DOOR_DOOR = "Door to Port", "Door to Door"
@@ -372,7 +373,8 @@ def quote_enrichment(
     cost = F.col("cost")
     air = items.groupBy("quote_id").agg((F.min("template_id") == 1).alias("is_air_quote"))
     legs = times.select("quote_id", "origin_days", "destination_days", "port_to_port_days")
-    base = quotes.join(legs, "quote_id", "left").join(air, "quote_id", "left")
+    # Read by three aggregates and the final joins, so it is computed once and kept.
+    base = staged(quotes.join(legs, "quote_id", "left").join(air, "quote_id", "left"))
     by_shipment = group_totals(
         base,
         ["shipment_id"],
