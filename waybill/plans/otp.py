@@ -230,7 +230,7 @@ def _trip(ruled: DataFrame) -> DataFrame:
 
 def _complete() -> Column:
     """Whether every group of milestones the rule needs is present."""
-    parts = []
+    parts = ["_needs_ports IS NOT NULL"]  # there is a rule at all
     for name, group in _GROUPS.items():
         present = [
             f"coalesce({', '.join(f'actual_{p}_local' for p in _parts(m))}) IS NOT NULL" for m in group
