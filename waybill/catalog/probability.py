@@ -63,12 +63,12 @@ def posterior_grid(t):
 
 @query(f"""
 WITH {_PRIORS_SQL}
-SELECT o_custkey % 10 AS bucket, {r("max(CASE WHEN posterior < 0.3 THEN prior END)")} AS largest_prior FROM grid GROUP BY 1
+SELECT CAST(floor(eh * 10) AS BIGINT) AS likelihood_level, {r("max(CASE WHEN posterior < 0.3 THEN prior END)")} AS largest_prior FROM grid GROUP BY 1
 """)
 def largest_prior_below(t):
     grid = bayes.posterior_grid(_priors(t), "prior", "p_e_h", "p_e_not_h")
-    grid = grid.withColumn("bucket", F.col("o_custkey") % 10)
-    return publish(bayes.largest_prior_below(grid, "prior", 0.3, ["bucket"]))
+    grid = grid.withColumn("likelihood_level", F.floor(F.col("p_e_h") * 10))
+    return publish(bayes.largest_prior_below(grid, "prior", 0.3, ["likelihood_level"]))
 
 
 _EVIDENCE_SQL = """per_line AS (

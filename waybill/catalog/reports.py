@@ -175,7 +175,7 @@ SELECT l_orderkey * 10 + l_linenumber AS quote_id, l_orderkey AS shipment_id,
        CASE WHEN l_orderkey % 3 = 0 THEN 'model' WHEN l_orderkey % 3 = 1 THEN 'manual' END AS quote_source,
        l_linenumber + CASE WHEN quantity > 25 THEN CAST(quantity AS BIGINT) ELSE 0 END
          + CASE WHEN tax > 0.02 THEN 3 ELSE 0 END AS total_transit_days,
-       CASE WHEN l_linenumber % 2 = 1 THEN l_linenumber + 5 ELSE 0 END AS predicted_total_transit_days
+       CASE WHEN tax > 0.03 THEN l_linenumber + 5 ELSE 0 END AS predicted_total_transit_days
 FROM quote_lines WHERE flag <> 'R'
 """)
 def quoted_transit_total(t):
@@ -196,7 +196,7 @@ def quoted_transit_total(t):
         "shipped_at AS accepted_at",
         "CASE WHEN flag = 'R' THEN shipped_at END AS voided_at",
     )
-    predicted = lines.where("l_linenumber % 2 = 1").selectExpr(
+    predicted = lines.where("tax > 0.03D").selectExpr(
         number,
         "bigint(l_linenumber) AS origin_days",
         "bigint(NULL) AS origin_dwell_days",
@@ -222,12 +222,13 @@ WITH {v.QUOTES_SQL}, q AS (
          CASE WHEN o_orderstatus <> 'P' THEN o_orderdate END AS accepted, o_orderstatus <> 'O' AS is_live,
          cost, CASE WHEN o_orderkey % 2 = 0 THEN 'Ocean' ELSE 'Air' END AS mode,
          CASE WHEN l_linenumber % 2 = 0 THEN 'LCL' ELSE 'Not LCL' END AS lcl,
-         o_orderkey % 5 = 0 AS acceptor_is_staff, quantity, l_linenumber,
+         o_orderkey % 5 = 0 AS acceptor_is_staff, quantity,
+         o_orderstatus = 'F' AND o_orderpriority = '3-MEDIUM' AS autobooked, l_linenumber,
          date_diff('hour', o_orderdate, shipped_at + to_hours(l_linenumber)) AS share_hours,
          flag = 'A' AS is_air_quote
   FROM quote_lines JOIN orders ON o_orderkey = l_orderkey)
 SELECT quote_id, shipment_id, client_id,
-       CASE WHEN shipment_id % 7 = 0 AND client_id % 2 = 0 THEN 'autobook' WHEN acceptor_is_staff THEN 'staff'
+       CASE WHEN autobooked THEN 'autobook' WHEN acceptor_is_staff THEN 'staff'
             ELSE 'client' END AS acceptor,
        CASE WHEN mode = 'Ocean' AND lcl = 'LCL' THEN 'Ocean LCL' WHEN mode = 'Ocean' THEN 'Ocean FCL'
             ELSE mode END AS mode_blended,
@@ -270,7 +271,7 @@ def quote_enrichment(t):
         "l_linenumber AS destination_days",
         "l_linenumber AS port_to_port_days",
     )
-    booked = t.orders.where("o_orderkey % 7 = 0 AND o_custkey % 2 = 0").select(
+    booked = t.orders.where("o_orderstatus = 'F' AND o_orderpriority = '3-MEDIUM'").select(
         F.col("o_orderkey").alias("shipment_id"), F.col("o_custkey").alias("client_id")
     )
     out = otp.quote_enrichment(quotes, items, times, booked, ("autobook", "staff", "client"))
@@ -402,11 +403,11 @@ def _outstanding(t):
         (status == "P").alias("is_charged_off"),
         F.when(status == "F", F.date_add(day, (k % 90).cast("int"))).alias("repaid_on"),
         F.when(status == "P", F.date_add(day, 120)).alias("charged_off_on"),
-        (k % 11 == 0).alias("is_deleted"),
+        (F.col("o_totalprice") < 20000).alias("is_deleted"),
         v.money("o_totalprice").alias("principal"),
     )
     originations = t.orders.select(
-        k.alias("origination_id"), (k % 10 != 3).alias("is_live_origination")
+        k.alias("origination_id"), (F.col("o_orderpriority") != "5-LOW").alias("is_live_origination")
     )
     days = calendar(t.spark, *_YEAR)
     return exposure.daily_outstanding(repayments, originations, days, *_YEAR)
@@ -431,7 +432,7 @@ collateral AS (
 _OUTSTANDING_SQL = """repay AS (
   SELECT CAST(o_orderdate AS DATE) AS outlaid, o_orderstatus AS st, CAST(o_totalprice AS DECIMAL(28,4)) AS principal,
          CAST(o_orderdate AS DATE) + CAST(o_orderkey % 90 AS INTEGER) AS repaid, CAST(o_orderdate AS DATE) + 120 AS charged
-  FROM orders WHERE o_orderkey % 11 <> 0 AND o_orderkey % 10 <> 3),
+  FROM orders WHERE o_totalprice >= 20000 AND o_orderpriority <> '5-LOW'),
 outstanding AS (
   SELECT day, CAST(sum(CASE WHEN outlaid <= day AND ((st = 'F' AND repaid > day) OR (st = 'P' AND charged > day)
                                  OR st = 'O') THEN principal ELSE 0 END) AS DOUBLE) AS v

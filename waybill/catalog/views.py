@@ -91,10 +91,10 @@ def otp_shipments(t: Tables) -> DataFrame:
         "k % 3 = 2 AS is_air",
         "freight AS ocean_freight_type",
         "freight AS air_freight_type",
-        "CASE WHEN k % 37 <> 0 THEN freight END AS freight_type",
+        "CASE WHEN o_totalprice >= 10000 THEN freight END AS freight_type",
         "CASE k % 3 WHEN 2 THEN 'Air' WHEN 0 THEN 'Ocean FCL' ELSE 'Ocean LCL' END AS mode_blended",
-        "CASE WHEN k % 5 <> 0 THEN 'FINAL destination' ELSE 'In Transit' END AS transportation_status",
-        "k % 8 <> 0 AS wants_freight",
+        "CASE WHEN o_orderstatus <> 'P' THEN 'FINAL destination' ELSE 'In Transit' END AS transportation_status",
+        "o_orderpriority <> '4-NOT SPECIFIED' AS wants_freight",
         "r_name AS destination_region",
         "CASE WHEN k % 6 <> 0 THEN int(5 + k % 10) END AS ocean_transit_min",
         "CASE WHEN k % 6 <> 0 THEN int(20 + k % 10) END AS ocean_transit_max",
@@ -122,8 +122,8 @@ otp_shipments AS (
          CASE (o_orderkey // 3) % 4 WHEN 0 THEN 'Port to Door' WHEN 1 THEN 'Port to Port'
               WHEN 2 THEN 'Door to Port' ELSE 'Door to Door' END AS ft,
          CASE o_orderkey % 3 WHEN 2 THEN 'Air' WHEN 0 THEN 'Ocean FCL' ELSE 'Ocean LCL' END AS mode_blended,
-         o_orderkey % 37 <> 0 AS has_freight_type, o_orderkey % 5 <> 0 AS arrived,
-         o_orderkey % 8 <> 0 AS wants_freight, r_name AS destination_region,
+         o_totalprice >= 10000 AS has_freight_type, o_orderstatus <> 'P' AS arrived,
+         o_orderpriority <> '4-NOT SPECIFIED' AS wants_freight, r_name AS destination_region,
          CASE WHEN o_orderkey % 6 <> 0 THEN CAST(5 + o_orderkey % 10 AS INTEGER) END AS ocean_min,
          CASE WHEN o_orderkey % 6 <> 0 THEN CAST(20 + o_orderkey % 10 AS INTEGER) END AS ocean_max,
          CASE WHEN o_orderkey % 7 <> 0 THEN CAST(2 + o_orderkey % 5 AS INTEGER) END AS air_min,
@@ -201,34 +201,29 @@ def shipment_modes(t: Tables) -> DataFrame:
 
 
 def audits(t: Tables) -> DataFrame:
-    """Events as an audit log of ready dates: bare values, [before, after] pairs, junk."""
-    k = F.get_json_object("props", "$.k").cast("int")
-    day = F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), k), "yyyy-MM-dd")
-    document = (
-        F.when(F.col("event_id") % 11 == 0, F.lit('{"other":1}'))
-        .when(F.col("event_id") % 7 == 0, F.lit('{"ready":"n/a"}'))
-        .when(
-            F.col("event_id") % 3 == 0,
-            F.concat(F.lit('{"ready":["2024-01-01","'), day, F.lit('"]}')),
-        )
-        .otherwise(F.concat(F.lit('{"ready":"'), day, F.lit('"}')))
-    )
-    return t.events.select(
-        F.col("event_id").alias("audit_id"),
-        (F.col("user_id") * 100 + k % 40).alias("leg_id"),
-        F.when(F.col("event_id") % 3 == 0, "update").otherwise("create").alias("action"),
-        F.when(F.col("event_id") % 13 == 0, "Quote").otherwise("Leg").alias("audited_type"),
-        F.col("ts").alias("changed_at"),
-        document.alias("changes"),
+    """Events as an audit log of ready dates: bare values, [before, after] pairs, junk.
+
+    A leg is one kind of event of one user; the value decides the kind of document.
+    """
+    day = "date_format(date_add(DATE'2024-01-01', int(get_json_object(props, '$.k'))), 'yyyy-MM-dd')"
+    return t.events.selectExpr(
+        "event_id AS audit_id",
+        "concat(user_id, '-', event_type) AS leg_id",
+        "CASE WHEN value < 40 THEN 'update' ELSE 'create' END AS action",
+        "CASE WHEN value > 200 THEN 'Quote' ELSE 'Leg' END AS audited_type",
+        "ts AS changed_at",
+        f"""CASE WHEN value < 2 THEN '{{"other":1}}' WHEN value < 6 THEN '{{"ready":"n/a"}}'
+            WHEN value < 40 THEN concat('{{"ready":["2024-01-01","', {day}, '"]}}')
+            ELSE concat('{{"ready":"', {day}, '"}}') END AS changes""",
     )
 
 
 def audit_legs(t: Tables) -> DataFrame:
     """The legs named in the audit log, with their shipment."""
-    return audits(t).select("leg_id").distinct().select(
-        "leg_id",
-        F.floor(F.col("leg_id") / 100).alias("shipment_id"),
-        (F.col("leg_id") % 9 != 0).alias("from_origin"),
+    return t.events.select("user_id", "event_type").distinct().selectExpr(
+        "concat(user_id, '-', event_type) AS leg_id",
+        "user_id AS shipment_id",
+        "event_type <> 'error' AS from_origin",
     )
 
 
@@ -240,14 +235,14 @@ def audit_quotes(t: Tables) -> DataFrame:
 
 
 AUDITS_SQL = """raw_audits AS (
-  SELECT event_id AS audit_id, user_id * 100 + k % 40 AS leg_id, user_id AS shipment_id,
-         CASE WHEN event_id % 3 = 0 THEN 'update' ELSE 'create' END AS action, ts AS changed_at,
-         CASE WHEN event_id % 7 <> 0 THEN DATE '2024-01-01' + k END AS change_date
+  SELECT event_id AS audit_id, user_id || '-' || event_type AS leg_id, user_id AS shipment_id,
+         CASE WHEN value < 40 THEN 'update' ELSE 'create' END AS action, ts AS changed_at,
+         CASE WHEN value >= 6 THEN DATE '2024-01-01' + k END AS change_date
   FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)
-  WHERE event_id % 11 <> 0 AND event_id % 13 <> 0),
+  WHERE value >= 2 AND value <= 200 AND event_type <> 'error'),
 audits AS (
   SELECT a.* FROM raw_audits a JOIN orders ON o_orderkey = shipment_id
-  WHERE leg_id % 9 <> 0 AND o_orderstatus <> 'P')"""
+  WHERE o_orderstatus <> 'P')"""
 
 TRAIL_SQL = f"""{AUDITS_SQL},
 first_dates AS (

@@ -1,4 +1,4 @@
-"""Equi-joins of a large frame with one row per key when some keys are hot."""
+"""Equi-joins of a large frame with a table of few rows per key when some keys are hot."""
 
 from __future__ import annotations
 
@@ -22,12 +22,12 @@ def spread_join(
     hot_rows: int = HOT_ROWS,
     parts: int = 64,
 ) -> DataFrame:
-    """Join ``big`` to ``small`` (unique on ``on``), spreading hot keys.
+    """Join ``big`` to ``small`` (few rows per key, usually one), spreading hot keys.
 
     Adaptive execution splits a skewed shuffle only if both join inputs are plain
     shuffles; a ``small`` side fresh from an aggregate on the same key is not.
     So the rows of hot keys get a salt from a hash of ``spread_by`` (columns that
-    tell them apart) and their single ``small`` row is repeated once per salt.
+    tell them apart) and their ``small`` rows are repeated once per salt.
     Cold keys keep salt 0 and are not repeated.
 
     ``rows`` names a column of ``small`` that holds (at least) the number of

@@ -23,13 +23,17 @@ from pyspark.sql import functions as F
 _CHUNK = "_chunk"
 
 
-def day_chunk(c: Column | str) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("date")
+def minute_chunk(ts: str) -> Column:
+    """Minute number of a timestamp: a third of 10^12 rows in a month is 8 million a minute."""
+    return F.expr(f"unix_date(date({ts})) * 1440L + hour({ts}) * 60 + minute({ts})")
 
 
-def hour_chunk(c: Column | str) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return F.unix_date(c.cast("date")) * 24 + F.hour(c)
+def block_chunk(first: str, tie_break: str, size: int = 1_000_000) -> Column:
+    """Blocks of a whole-number tie-breaker inside equal values of the leading order column.
+
+    For orders such as (date, id) in which one date may hold most of the rows.
+    """
+    return F.struct(F.col(first), F.floor(F.col(tie_break) / size).alias("block"))
 
 
 def number_chunk(c: Column | str, per_e: int = 500) -> Column:

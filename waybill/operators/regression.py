@@ -195,17 +195,23 @@ def logit_fit(df: DataFrame, y: str, xs: Sequence[str], pre_aggregate: bool = Tr
 
 
 def logistic_scores(df: DataFrame, y: str, xs: Sequence[str]) -> DataFrame:
-    """``df`` with the class-1 probability of an unregularised logistic classifier."""
+    """``df`` with the class-1 probability of an unregularised logistic classifier.
+
+    Equal rows are counted and weighted before the iterations.
+    """
     design = Design(xs)
-    data = _assembled(df, design, y)
+    counted = df.groupBy(F.col(y).cast("double").alias(y), *xs).agg(
+        F.count(F.lit(1)).cast("double").alias("_w")
+    )
     model = LogisticRegression(
         featuresCol="_features",
         labelCol=y,
         probabilityCol="_probability",
+        weightCol="_w",
         regParam=0.0,
         maxIter=200,
         tol=1e-10,
-    ).fit(data.select(F.col(y).cast("double").alias(y), "_features"))
-    return model.transform(data).select(
+    ).fit(_assembled(counted, design, y))
+    return model.transform(_assembled(df, design, y)).select(
         *df.columns, vector_to_array("_probability")[1].alias("probability")
     )

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waybill.functions import change_value, lenient_date, strip_quotes
-from waybill.operators.ordered import hour_chunk, quantiles, with_history
+from waybill.operators.joins import spread_join
+from waybill.operators.ordered import minute_chunk, quantiles, with_history
 from waybill.operators.staging import staged
 
 
@@ -27,18 +28,19 @@ def change_extract(
     audited and the JSON ``changes``.
     """
     lo, hi = (F.lit(d).cast("timestamp_ntz") for d in (start, end))
-    value = change_value("changes", field)
-    return (
+    rows = (
         audits.where((F.col("changed_at") >= lo) & (F.col("changed_at") <= hi))
         .where(F.col("audited_type").isin(*audited_types))
-        .withColumn("new_value", value)
+        .withColumn("new_value", change_value("changes", field))
         .where("new_value IS NOT NULL")
-        .join(legs.where("from_origin").select("leg_id", "shipment_id"), "leg_id")
-        .join(
-            quotes.where("quote_accepted_at IS NOT NULL").select("shipment_id", "quote_accepted_at"),
-            "shipment_id",
-        )
-        .select("audit_id", "leg_id", "action", "shipment_id", "changed_at", "new_value")
+        .select("audit_id", "leg_id", "action", "changed_at", "new_value")
+    )
+    # Legs meet their quotes first, so that the log is joined once; a leg with very
+    # many changes is spread over tasks.
+    accepted = quotes.where("quote_accepted_at IS NOT NULL").select("shipment_id")
+    eligible = legs.where("from_origin").select("leg_id", "shipment_id").join(accepted, "shipment_id")
+    return spread_join(rows, eligible, ["leg_id"], spread_by=["audit_id"]).select(
+        "audit_id", "leg_id", "action", "shipment_id", "changed_at", "new_value"
     )
 
 
@@ -53,7 +55,7 @@ def change_trail(
     """Each change with its order, previous and first date and the days moved.
 
     Text that is no date becomes NULL. The first record of a key has no distance
-    to the first. Keys of any size are handled hour by hour (``chunk``). The dated
+    to the first. Keys of any size are handled minute by minute (``chunk``). The dated
     changes, usually a join of several tables, are read twice and therefore kept.
     """
     dated = staged(changes.withColumn("change_date", lenient_date(strip_quotes(value))))
@@ -62,7 +64,7 @@ def change_trail(
         [key],
         [changed_at, tie_break],
         ["change_date"],
-        hour_chunk(changed_at) if chunk is None else chunk,
+        minute_chunk(changed_at) if chunk is None else chunk,
         position="change_order",
     )
     from_first = F.datediff("change_date", "change_date_first")

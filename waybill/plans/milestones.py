@@ -57,17 +57,27 @@ def update_speed(
 ) -> DataFrame:
     """Mean lead hours by kind of user, strictly inside (low, high).
 
-    Updates without source, creator or category are dropped.
+    Updates without source, creator or category are dropped. They are summed per
+    source and creator before the lookup, so a creator with very many updates
+    joins as a single row.
     """
+    lead = F.col("lead_hours")
+    summed = (
+        updates.dropna("any", subset=["source", "created_by"])
+        .where((lead < high) & (lead > low))
+        .groupBy("source", "created_by")
+        .agg(F.count(F.lit(1)).alias("_n"), F.sum(lead).alias("_sum"))
+    )
     kind = user_category(F.col("source"), F.col("user_type"), bots, people)
     return (
-        updates.dropna("any", subset=["source", "created_by"])
-        .join(user_types, "created_by", "left")
+        summed.join(user_types, "created_by", "left")
         .withColumn("user_kind", kind)
         .where("user_kind IS NOT NULL")
-        .where((F.col("lead_hours") < high) & (F.col("lead_hours") > low))
         .groupBy("user_kind")
-        .agg(F.count(F.lit(1)).alias("updates"), F.avg("lead_hours").alias("mean_lead_hours"))
+        .agg(
+            F.sum("_n").alias("updates"),
+            safe_ratio(F.sum("_sum"), F.sum("_n")).alias("mean_lead_hours"),
+        )
     )
 
 
