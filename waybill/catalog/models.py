@@ -90,8 +90,37 @@ def ols_interactions(t):
     return publish(fit.coefficients.select("term", "coefficient"), 4)
 
 
-@query()
+@query(f"""
+WITH g AS (SELECT l_returnflag AS f, count(*) AS n, avg(l_extendedprice) AS y, avg(l_quantity) AS x, avg(l_discount) AS z,
+                  regr_sxx(l_extendedprice, l_quantity) AS sxx, regr_sxx(l_extendedprice, l_discount) AS szz,
+                  regr_sxy(l_quantity, l_discount) AS sxz, regr_sxy(l_extendedprice, l_quantity) AS sxy,
+                  regr_sxy(l_extendedprice, l_discount) AS szy, regr_syy(l_extendedprice, l_quantity) AS syy
+           FROM lineitem GROUP BY 1),
+s AS (SELECT sum(n) AS n, sum(sxx) AS sxx, sum(szz) AS szz, sum(sxz) AS sxz, sum(sxy) AS sxy, sum(szy) AS szy, sum(syy) AS syy FROM g),
+b AS (SELECT *, (sxy * szz - szy * sxz) / (sxx * szz - sxz * sxz) AS bx, (szy * sxx - sxy * sxz) / (sxx * szz - sxz * sxz) AS bz FROM s),
+e AS (SELECT *, (syy - bx * sxy - bz * szy) / (n - 5) AS s2 FROM b),
+a AS (SELECT f, y - bx * x - bz * z AS a FROM g, b)
+SELECT 'l_quantity' AS term, {r("bx", 4)} AS coefficient, {r("sqrt(s2 * szz / (sxx * szz - sxz * sxz))", 4)} AS std_error FROM e
+UNION ALL SELECT 'l_discount', {r("bz", 4)}, {r("sqrt(s2 * sxx / (sxx * szz - sxz * sxz))", 4)} FROM e
+UNION ALL SELECT 'intercept', {r("a", 4)}, NULL FROM a WHERE f = 'A'
+UNION ALL SELECT 'l_returnflag_' || f, {r("a - (SELECT a FROM a WHERE f = 'A')", 4)}, NULL FROM a WHERE f <> 'A'
+""")
 def ols_full(t):
+    fit = regression.ols(
+        _lines(t), "l_extendedprice", Design(["l_quantity", "l_discount"], _FLAGS)
+    )
+    numeric = F.col("term").isin("l_quantity", "l_discount")
+    return publish(
+        fit.coefficients.select(
+            "term", "coefficient", F.when(numeric, F.col("std_error")).alias("std_error")
+        ),
+        4,
+    )
+
+
+@query()
+def ols_summary(t):
+    """The whole coefficient table: errors, t and p values included."""
     fit = regression.ols(
         _lines(t), "l_extendedprice", Design(["l_quantity", "l_discount"], _FLAGS)
     )

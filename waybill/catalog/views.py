@@ -213,8 +213,8 @@ def audits(t: Tables) -> DataFrame:
         "CASE WHEN value > 200 THEN 'Quote' ELSE 'Leg' END AS audited_type",
         "ts AS changed_at",
         f"""CASE WHEN value < 2 THEN '{{"other":1}}' WHEN value < 6 THEN '{{"ready":"n/a"}}'
-            WHEN value < 40 THEN concat('{{"ready":["2024-01-01","', {day}, '"]}}')
-            ELSE concat('{{"ready":"', {day}, '"}}') END AS changes""",
+            ELSE concat(CASE WHEN value < 40 THEN '{{"ready":["2024-01-01","' ELSE '{{"ready":"' END,
+                        {day}, CASE WHEN value < 40 THEN '"]}}' ELSE '"}}' END) END AS changes""",
     )
 
 

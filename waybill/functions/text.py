@@ -43,6 +43,5 @@ def change_value(document: Column | str, field: str) -> Column:
     JSON null, a missing field and a malformed document all give NULL.
     """
     raw = F.get_json_object(_col(document), f"$.{field}")
-    after = F.get_json_object(_col(document), f"$.{field}[1]")
     pair = raw.startswith("[") & (F.json_array_length(raw) == 2)
-    return F.when(pair, after).otherwise(raw)
+    return F.when(pair, F.get_json_object(raw, "$[1]")).otherwise(raw)

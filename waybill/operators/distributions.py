@@ -34,8 +34,13 @@ def bernoulli(df: DataFrame, flag: Column, by: Sequence[str] = ()) -> DataFrame:
     return df.groupBy(*by).agg(F.count(flag).alias("n"), p.alias("p"), (1 - p).alias("q"))
 
 
-def _support(params: DataFrame, low: Column, high: Column) -> DataFrame:
-    return params.withColumn("x", F.explode(F.sequence(low, high)))
+def _support(params: DataFrame, low: Column, high: Column, block: int = 100_000) -> DataFrame:
+    """One row per whole number from low to high; generated in blocks, so that no array holds a long support."""
+    starts = params.withColumns({"_high": high, "_from": low}).withColumn(
+        "_from", F.explode(F.sequence("_from", "_high", F.lit(block).cast("long")))
+    )
+    end = F.least(F.col("_from") + (block - 1), F.col("_high"))
+    return starts.withColumn("x", F.explode(F.sequence("_from", end))).drop("_from", "_high")
 
 
 def _cumulate(frame: DataFrame, keys: Sequence[str]) -> DataFrame:

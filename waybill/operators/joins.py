@@ -19,6 +19,7 @@ def spread_join(
     spread_by: Sequence[str],
     how: str = "inner",
     rows: str | None = None,
+    counts: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
     parts: int = 64,
 ) -> DataFrame:
@@ -30,13 +31,16 @@ def spread_join(
     tell them apart) and their ``small`` rows are repeated once per salt.
     Cold keys keep salt 0 and are not repeated.
 
-    ``rows`` names a column of ``small`` that holds (at least) the number of
-    ``big`` rows of its key; without it they are counted, which reads ``big`` twice.
+    The number of ``big`` rows of a key, or an upper bound, comes from the column
+    ``rows`` of ``small`` or from ``counts`` (``on`` and ``_rows``). Without either
+    they are counted, which reads ``big`` twice.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
     on = list(on)
-    if rows is None:
+    if counts is not None:
+        counted = counts
+    elif rows is None:
         counted = big.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
     else:
         counted = small.select(*on, F.col(rows).alias("_rows"))

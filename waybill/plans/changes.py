@@ -28,18 +28,20 @@ def change_extract(
     audited and the JSON ``changes``.
     """
     lo, hi = (F.lit(d).cast("timestamp_ntz") for d in (start, end))
+    recent = audits.where((F.col("changed_at") >= lo) & (F.col("changed_at") <= hi)).where(
+        F.col("audited_type").isin(*audited_types)
+    )
     rows = (
-        audits.where((F.col("changed_at") >= lo) & (F.col("changed_at") <= hi))
-        .where(F.col("audited_type").isin(*audited_types))
-        .withColumn("new_value", change_value("changes", field))
+        recent.withColumn("new_value", change_value("changes", field))
         .where("new_value IS NOT NULL")
         .select("audit_id", "leg_id", "action", "changed_at", "new_value")
     )
     # Legs meet their quotes first, so that the log is joined once; a leg with very
-    # many changes is spread over tasks.
+    # many changes is spread over tasks. Counting them needs no document to be parsed.
+    per_leg = recent.groupBy("leg_id").agg(F.count(F.lit(1)).alias("_rows"))
     accepted = quotes.where("quote_accepted_at IS NOT NULL").select("shipment_id")
     eligible = legs.where("from_origin").select("leg_id", "shipment_id").join(accepted, "shipment_id")
-    return spread_join(rows, eligible, ["leg_id"], spread_by=["audit_id"]).select(
+    return spread_join(rows, eligible, ["leg_id"], spread_by=["audit_id"], counts=per_leg).select(
         "audit_id", "leg_id", "action", "shipment_id", "changed_at", "new_value"
     )
 
