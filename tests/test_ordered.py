@@ -88,16 +88,22 @@ def test_spread_join_with_hot_keys(skewed, rows, how, counted):
         how,
         rows="n" if counted else None,
         hot_rows=100,
-        parts=8,
     )
     assert rows(got, "id", "top") == rows(plain, "id", "top")
 
 
-def test_hot_key_is_really_spread(skewed):
+def test_hot_key_is_really_spread(spark, skewed):
     small = skewed.groupBy("k").agg(F.max("v").alias("top"))
-    joined = spread_join(skewed, small, ["k"], ["id"], hot_rows=100, parts=8)
-    plan = joined._jdf.queryExecution().optimizedPlan().toString()
-    assert "_salt" in plan and "xxhash64" in plan
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = spread_join(skewed, small, ["k"], ["id"], hot_rows=100)
+        placed = joined.where("k = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(p["count"] for p in placed) == 1000
+    assert len(placed) > 2 and max(p["count"] for p in placed) < 700
 
 
 def test_group_values(skewed, rows):

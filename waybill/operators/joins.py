@@ -21,15 +21,15 @@ def spread_join(
     rows: str | None = None,
     counts: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
-    parts: int = 64,
 ) -> DataFrame:
     """Join ``big`` to ``small`` (few rows per key, usually one), spreading hot keys.
 
     Adaptive execution splits a skewed shuffle only if both join inputs are plain
     shuffles; a ``small`` side fresh from an aggregate on the same key is not.
-    So the rows of hot keys get a salt from a hash of ``spread_by`` (columns that
-    tell them apart) and their ``small`` rows are repeated once per salt.
-    Cold keys keep salt 0 and are not repeated.
+    So a key gets one salt per ``hot_rows`` of its rows, chosen by a hash of
+    ``spread_by`` (columns that tell them apart), and its ``small`` rows are repeated
+    once per salt. Cold keys have the single salt 0 and are not repeated; in all,
+    ``small`` grows by at most rows / ``hot_rows``.
 
     The number of ``big`` rows of a key, or an upper bound, comes from the column
     ``rows`` of ``small`` or from ``counts`` (``on`` and ``_rows``). Without either
@@ -45,13 +45,14 @@ def spread_join(
     else:
         counted = small.select(*on, F.col(rows).alias("_rows"))
         small = small.drop(rows)
-    hot = counted.where(F.col("_rows") > hot_rows).select(*on, F.lit(True).alias("_hot"))
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(parts)).cast("int")
+    hot = counted.where(F.col("_rows") > hot_rows).select(
+        *on, F.ceil(F.col("_rows") / hot_rows).cast("int").alias("_parts")
+    )
+    parts = F.coalesce("_parts", F.lit(1))
     left = big.join(F.broadcast(hot), on, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), salt).otherwise(0)
+        "_salt", F.pmod(F.xxhash64(*spread_by), parts).cast("int")
     )
     right = small.join(F.broadcast(hot), on, "left").withColumn(
-        "_salt",
-        F.explode(F.sequence(F.lit(0), F.when(F.col("_hot"), parts - 1).otherwise(0))),
+        "_salt", F.explode(F.sequence(F.lit(0), parts - 1))
     )
-    return left.drop("_hot").join(right.drop("_hot"), [*on, "_salt"], how).drop("_salt")
+    return left.drop("_parts").join(right.drop("_parts"), [*on, "_salt"], how).drop("_salt")
