@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm import sharding, shared, warc
+from waybill.llm import decontam, langid, sharding, shared, warc
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
 
 def _query(fn):
-    QUERIES[fn.__name__] = fn
+    """Register ``fn``; a worker that inherits nothing from the driver's import path gets this root."""
+
+    def run(spark: SparkSession, directory: str) -> DataFrame:
+        spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+        return fn(spark, directory)
+
+    QUERIES[fn.__name__] = run
     return fn
 
 
@@ -51,3 +59,33 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, p.d AS payload_digest,
   CASE WHEN last > page_id THEN last END AS refers_to
 FROM p LEFT JOIN m ON p.d = m.d
 """
+
+
+@_query
+def op7_decontamination(spark: SparkSession, directory: str) -> DataFrame:
+    """Documents that hold at least three quarters of a benchmark item's five-word shingles."""
+    return decontam.contained(_read(spark, directory, "documents"), _read(spark, directory, "benchmark"))
+
+
+_WORDS = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+')"""
+_SHINGLES = """SELECT {id}, unnest(CASE WHEN len(w) = 0 THEN []
+    WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')) END) AS s
+  FROM {words}"""
+
+ORACLES["op7_decontamination"] = f"""
+WITH dw AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+iw AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+d AS (SELECT DISTINCT * FROM ({_SHINGLES.format(id="doc_id", words="dw")})),
+i AS (SELECT DISTINCT * FROM ({_SHINGLES.format(id="item_id", words="iw")})),
+n AS (SELECT item_id, count(*) AS n FROM i GROUP BY item_id)
+SELECT doc_id, item_id, count(*) / max(n)::DOUBLE AS containment, max(n) AS n_shingles
+FROM d JOIN i USING (s) JOIN n USING (item_id) GROUP BY doc_id, item_id HAVING count(*) / max(n)::DOUBLE >= 0.75
+"""
+
+
+@_query
+def op8_language_id(spark: SparkSession, directory: str) -> DataFrame:
+    """The language of every document, learned from the labelled ones that are not held out."""
+    documents = _read(spark, directory, "documents")
+    return langid.predict(documents, langid.fit(documents))

@@ -18,7 +18,7 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_STEP = np.uint64(0xD1B54A32D192ED03)
+_STEPS = [np.uint64(pow(0xD1B54A32D192ED03, k, 1 << 64)) for k in range(64)]
 _CODES = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _CODES[65:91] = _CODES[97:123]
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
@@ -113,21 +113,16 @@ def shingle_hashes(words: np.ndarray, first: np.ndarray, k: int = 5) -> tuple[np
     counts = np.diff(first)
     n = len(words)
     total = np.zeros(n, np.uint64)
-    factor = np.uint64(1)
-    for j in range(k):
-        if n > j:
-            total[: n - j] += words[j:] * factor
-        factor = factor * _STEP
+    for j in range(min(k, n)):
+        total[: n - j] += words[j:] * _STEPS[j]
     rows = np.repeat(np.arange(len(counts)), counts)
     whole = np.arange(n) + k <= first[1:][rows]
     short = np.flatnonzero((counts > 0) & (counts < k))
     if len(short):
         sums = np.zeros(len(short), np.uint64)
-        factor = np.uint64(1)
         for j in range(k - 1):
             has = counts[short] > j
-            sums[has] += words[first[:-1][short[has]] + j] * factor
-            factor = factor * _STEP
+            sums[has] += words[first[:-1][short[has]] + j] * _STEPS[j]
         total[first[:-1][short]] = sums + counts[short].astype(np.uint64)
         whole[first[:-1][short]] = True
     taken = np.flatnonzero(whole)
