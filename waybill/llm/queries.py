@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm import decontam, langid, sharding, shared, warc
+from waybill.llm import chat, decontam, langid, sharding, shared, toxicity, warc
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -89,3 +89,17 @@ def op8_language_id(spark: SparkSession, directory: str) -> DataFrame:
     """The language of every document, learned from the labelled ones that are not held out."""
     documents = _read(spark, directory, "documents")
     return langid.predict(documents, langid.fit(documents))
+
+
+@_query
+def op3_chat_repair(spark: SparkSession, directory: str) -> DataFrame:
+    """Every turn with its repaired role and its part of the rendered conversation."""
+    return chat.repaired(_read(spark, directory, "conversations"))
+
+
+@_query
+def op10_toxic_spans(spark: SparkSession, directory: str) -> DataFrame:
+    """Toxicity of every document from the marginals of a field learned on the labels not held out."""
+    documents = _read(spark, directory, "documents")
+    field = toxicity.fit(documents, _read(spark, directory, "labels"))
+    return toxicity.tag(documents, field)
