@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pathlib import Path
 
+import public_tokenizers
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm import chat, decontam, langid, sharding, shared, toxicity, warc
+from waybill.llm import chat, decontam, langid, packing, sharding, shared, toxicity, warc
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -103,3 +105,9 @@ def op10_toxic_spans(spark: SparkSession, directory: str) -> DataFrame:
     documents = _read(spark, directory, "documents")
     field = toxicity.fit(documents, _read(spark, directory, "labels"))
     return toxicity.tag(documents, field)
+
+
+@_query
+def op1_minimum_slack_packing(spark: SparkSession, directory: str) -> DataFrame:
+    """Every document's tokens packed into sequences of 1024."""
+    return packing.packed(_read(spark, directory, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
