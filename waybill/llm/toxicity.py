@@ -257,7 +257,8 @@ def score(field: Field, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarr
 def fit(documents: DataFrame, labels: DataFrame, per_label: tuple[int, int] = PER_LABEL) -> Field:
     """Field from at most ``per_label`` documents of label 0 and of label 1, none of them held out.
 
-    The sample (smallest hashes of doc_id) is all that reaches the driver. A document with several
+    The sample (smallest hashes of doc_id) is all that reaches the driver; its ids are broadcast, as
+    the parameter bounds them. A document with several
     labels counts as toxic if one of them says so.
     """
     known = (
@@ -269,7 +270,7 @@ def fit(documents: DataFrame, labels: DataFrame, per_label: tuple[int, int] = PE
     picked = known.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= max(per_label)).where(F.col("_rank") <= F.when(F.col("_toxic") == 0, per_label[0]).otherwise(per_label[1]))
     sample = (
         documents.select("doc_id", "text")
-        .join(picked.select("_id", "_toxic"), F.col("doc_id") == F.col("_id"))
+        .join(F.broadcast(picked.select("_id", "_toxic")), F.col("doc_id") == F.col("_id"))
         .groupBy("text")
         .agg(F.max("_toxic").alias("_toxic"), F.min("doc_id").alias("_first"))
         .orderBy("_first")
