@@ -163,7 +163,7 @@ def fit(documents: DataFrame, per_language: int = PER_LANGUAGE, count: int | Non
     """Model from at most ``per_language`` labelled documents of each language, none of them held out.
 
     The sample (the smallest hashes of doc_id) is the only part of the corpus that reaches the driver,
-    as profiles of fixed size.
+    as profiles of fixed size. Its ids are broadcast: ``per_language`` for each language bounds them.
     """
     known = documents.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~F.coalesce(held_out(), F.lit(False)))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
@@ -174,7 +174,7 @@ def fit(documents: DataFrame, per_language: int = PER_LANGUAGE, count: int | Non
         .select("doc_id")
         .distinct()
     )
-    rows = known.select("doc_id", "lang", "text").join(picked, "doc_id", "left_semi")
+    rows = known.select("doc_id", "lang", "text").join(F.broadcast(picked), "doc_id", "left_semi")
 
     def profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
