@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm import chat, decontam, langid, packing, sharding, shared, toxicity, warc
+from waybill.llm import ann, chat, decontam, langid, packing, sharding, shared, toxicity, warc
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -111,3 +111,10 @@ def op10_toxic_spans(spark: SparkSession, directory: str) -> DataFrame:
 def op1_minimum_slack_packing(spark: SparkSession, directory: str) -> DataFrame:
     """Every document's tokens packed into sequences of 1024."""
     return packing.packed(_read(spark, directory, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@_query
+def op6_posting_list_neighbours(spark: SparkSession, directory: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth one, searched among all."""
+    vectors = _read(spark, directory, "embeddings")
+    return ann.search(vectors, vectors.where(F.col("vec_id") % 50 == 0))
