@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm import ann, chat, decontam, langid, packing, sharding, shared, toxicity, warc
+from waybill.llm import ann, chat, decontam, langid, ngram_join, packing, sharding, shared, toxicity, warc
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -118,3 +118,21 @@ def op6_posting_list_neighbours(spark: SparkSession, directory: str) -> DataFram
     """The five nearest vectors of every fiftieth one, searched among all."""
     vectors = _read(spark, directory, "embeddings")
     return ann.search(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
+@_query
+def op9_ngram_jaccard_join(spark: SparkSession, directory: str) -> DataFrame:
+    """Every document's component of links of Jaccard 0.75 or more on five-word shingles."""
+    return ngram_join.joined(_read(spark, directory, "documents"))
+
+
+ORACLES["op9_ngram_jaccard_join"] = f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+s AS (SELECT DISTINCT * FROM ({_SHINGLES.format(id="doc_id", words="w")})),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 75 * (x.n + y.n - k)),
+r AS (SELECT doc_id, doc_id AS low FROM documents UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.low)
+SELECT d.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(r.low) AS component_id
+FROM documents d JOIN r USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY d.doc_id
+"""
