@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from waybill.llm import words
 from waybill.llm.langid import held_out
 
-BITS = 22
+BITS = 21
 BLOCK = 64
 PER_LABEL = (4000, 800)
 THRESHOLD = 0.7
@@ -197,8 +197,13 @@ def train(data: np.ndarray, offsets: np.ndarray, toxic: np.ndarray, rounds: int
 
     Cues are counted over all rows; the steps use the toxic rows and as many others.
     """
-    start, end, first = tokens(data, offsets)
-    feature = features(data, start, end)
+    parts, counts = [np.empty((0, 1 + len(PREFIXES)), np.int32)], [np.zeros(0, np.int64)]
+    for a, b in words.slices(offsets):
+        part = data[offsets[a] : offsets[b]]
+        start, end, first = tokens(part, offsets[a : b + 1] - offsets[a])
+        parts.append(features(part, start, end))
+        counts.append(np.diff(first))
+    feature, first = np.concatenate(parts), np.append(0, np.cumsum(np.concatenate(counts)))
     row = np.repeat(np.arange(len(first) - 1), np.diff(first))
     tag, telling = cues(feature, first, toxic)
     tag = tag.astype(float)
