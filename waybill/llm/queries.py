@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm import ann, chat, decontam, langid, ngram_join, packing, sharding, shared, toxicity, warc
+from waybill.llm import ann, chat, decontam, langid, ngram_join, packing, sharding, shared, substrings, toxicity, warc
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -136,3 +136,9 @@ r AS (SELECT doc_id, doc_id AS low FROM documents UNION SELECT r.doc_id, e.b FRO
 SELECT d.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(r.low) AS component_id
 FROM documents d JOIN r USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY d.doc_id
 """
+
+
+@_query
+def op5_suffix_array_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    """What is left of every document without 100-byte strings that the corpus holds earlier."""
+    return substrings.removed(_read(spark, directory, "documents"))

@@ -32,7 +32,8 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
         column = pa.concat_arrays(column.chunks)
     if column.null_count:
         column = pc.fill_null(column, pa.scalar("", column.type))
-    wide = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    large = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
+    wide = np.int64 if large else np.int32
     _, offsets, data = column.buffers()
     if not len(column):
         return np.empty(0, np.uint8), np.zeros(1, np.int64)
