@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -219,3 +220,22 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
             )
 
     return rows.mapInArrow(score, "doc_id long, held_out boolean, lang_pred string, score double")
+
+
+def identified(documents: DataFrame, model: Model) -> DataFrame:
+    """The documents, all columns, whose text is of some language; texts without a letter are not."""
+    sent = documents.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("string")
+    def language(text: pd.Series) -> pd.Series:
+        data, offsets = words.utf8(pa.array(text, pa.string()))
+        names = np.full(len(text), NONE, object)
+        if sent.value.groups:
+            for a, b in words.slices(offsets):
+                names[a:b], _ = decide(sent.value, margins(sent.value, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]))
+        return pd.Series(names)
+
+    letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    if not model.groups:
+        return documents.where(F.lit(False))
+    return documents.where(letter).where(language("text") != NONE)

@@ -15,11 +15,16 @@ QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
 
+def use_root(spark: SparkSession) -> None:
+    """Let workers that inherit nothing of the driver's import path find this package."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+
+
 def _query(fn):
-    """Register ``fn``; a worker that inherits nothing from the driver's import path gets this root."""
+    """Register ``fn`` under its name."""
 
     def run(spark: SparkSession, directory: str) -> DataFrame:
-        spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+        use_root(spark)
         return fn(spark, directory)
 
     QUERIES[fn.__name__] = run
