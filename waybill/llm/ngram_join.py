@@ -3,10 +3,11 @@
 Two sets of sizes p <= q reach a Jaccard of 0.75 only if they differ in at most (p + q) / 7 shingles.
 A hash deals the universe to more segments than that, so they agree on one segment. Sets are banded by
 size; a band fixes the number of segments. A set is indexed in its own band under the subset that it has
-in each segment, and searched in its own band and the next lower one. Of its segments only as many are
-searched as the difference bound asks for, the fullest first, as large subsets are rare; empty ones,
-which many sets share, never. A set with too few segments for that allows one difference in some: it
-also searches the subsets with one shingle taken out, and the sets of the band are then indexed under
+in each segment, and searched in its own band and the next lower one. Only as many segments as the
+difference bound asks for have to be searched; which ones is decided by cost, when the lists under all
+keys are known: a set gives up the segments whose lists are longest, and empty ones, which many sets
+share, are never used. A set with too few segments allows one difference in the fullest: it also
+searches the subsets with one shingle taken out, and the sets of the band are then indexed under
 theirs. If even this is too little, another hash deals the set's band again.
 
 Candidates are groups of sets under one key. No group is turned into all its pairs: its members are
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from waybill.llm import shared, words
 from waybill.llm.components import components
 
-INDEX, SEARCH = 1, 2
+INDEX, SEARCH, SEARCH_BELOW = 1, 2, 4
 BUCKET_KEYS = 1_500_000
 SEND_IDS = 1_000_000
 STARS = 2
@@ -152,48 +153,62 @@ def searches(s: Sets) -> Iterator[tuple[np.ndarray, np.ndarray, int, Dealt, np.n
             which, bands, seed = which[~good], bands[~good], seed + 1
 
 
-def exceptions(s: Sets) -> list[tuple[int, int, bool]]:
-    """``(band, seed, with one difference)`` that some set of the slice searches beside the plain way."""
+def allowances(s: Sets) -> tuple[np.ndarray, list[tuple[int, int, bool]]]:
+    """What each set may give up, and what the plain scheme does not give.
+
+    The first is the number of segments beyond those it must search, in its own band and the next lower
+    one. The second lists ``(band, seed, with one difference)`` searched by some set beside the plain way.
+    """
+    own = band_of(s.sizes)
+    slack = np.zeros((len(own), 2), np.int64)
     found = set()
-    for _, bands, seed, _, _, short in searches(s):
+    for which, bands, seed, d, need, short in searches(s):
+        if not seed:
+            free = np.bincount(d.sets, minlength=len(which)) - need
+            slack[which, (bands != own[which]).astype(int)] = np.where(short == 0, free, 0)
         for i in np.flatnonzero(short > 0) if not seed else np.flatnonzero(short >= 0):
             found.add((int(bands[i]), seed, bool(short[i] > 0)))
-    return sorted(found)
+    return slack, sorted(found)
 
 
 def keys_of(s: Sets, extra: list[tuple[int, int, bool]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(set, key, role)`` of all index and search entries."""
     out: list[tuple[np.ndarray, np.ndarray, int]] = []
 
-    def without_one(which, bands, seed, d: Dealt, chosen: np.ndarray, kind: int, role: int) -> None:
+    def without_one(which, bands, seed, d: Dealt, chosen: np.ndarray, kind: int, role) -> None:
         """Entries of the chosen segments' subsets with one shingle taken out."""
         value = np.flatnonzero(chosen[d.index])
         seg = d.index[value]
         total = d.total[seg] - words.mixed(d.of_value[value])
-        out.append((which[d.sets[seg]], _keys(bands[d.sets[seg]], seed, d.segment[seg], total, kind), role))
+        out.append((which[d.sets[seg]], _keys(bands[d.sets[seg]], seed, d.segment[seg], total, kind), role[d.sets[seg]]))
 
-    for which, bands, seed, d, need, short in searches(s):
+    own = band_of(s.sizes)
+    for which, bands, seed, d, _, short in searches(s):
+        role = np.where(bands == own[which], SEARCH, SEARCH_BELOW).astype(np.uint8)
         fine = short[d.sets] >= 0
-        take = fine & (d.rank < need[d.sets])
         key = _keys(bands[d.sets], seed, d.segment, d.total, 0)
-        out.append((which[d.sets[take]], key[take], SEARCH))
+        out.append((which[d.sets[fine]], key[fine], role[d.sets[fine]]))
         loose = fine & (d.rank < short[d.sets])
         if loose.any():
-            out.append((which[d.sets[loose]], _keys(bands[d.sets[loose]], seed, d.segment[loose], d.total[loose], 1), SEARCH))
-            without_one(which, bands, seed, d, loose, 0, SEARCH)
-    own = band_of(s.sizes)
+            out.append((which[d.sets[loose]], _keys(bands[d.sets[loose]], seed, d.segment[loose], d.total[loose], 1), role[d.sets[loose]]))
+            without_one(which, bands, seed, d, loose, 0, role)
     plans = {(-1, 0, False)} | {(b, seed, False) for b, seed, _ in extra if seed} | {(b, seed, True) for b, seed, one in extra if one}
     for band, seed, one in sorted(plans):
         which = np.arange(len(own)) if band < 0 else np.flatnonzero(own == band)
         if not len(which):
             continue
         d = deal(s, which, own[which], seed)
+        role = np.full(len(which), INDEX, np.uint8)
         if one:
-            without_one(which, own[which], seed, d, np.ones(len(d.sets), bool), 1, INDEX)
+            without_one(which, own[which], seed, d, np.ones(len(d.sets), bool), 1, role)
         else:
-            out.append((which[d.sets], _keys(own[which][d.sets], seed, d.segment, d.total, 0), INDEX))
-    sets, keys = np.concatenate([o[0] for o in out]), np.concatenate([o[1] for o in out])
-    return sets, keys, np.concatenate([np.full(len(o[0]), o[2], np.uint8) for o in out])
+            out.append((which[d.sets], _keys(own[which][d.sets], seed, d.segment, d.total, 0), role[d.sets]))
+    sets, keys, role = (np.concatenate([o[k] for o in out]) for k in range(3))
+    # A set's entries under one key are one.
+    order = np.lexsort((keys, sets))
+    sets, keys, role = sets[order], keys[order], role[order]
+    first = np.flatnonzero(np.append(True, (sets[1:] != sets[:-1]) | (keys[1:] != keys[:-1])))
+    return sets[first], keys[first], np.bitwise_or.reduceat(role, first)
 
 
 def _batches(rows, function):
@@ -205,30 +220,40 @@ def _batches(rows, function):
 
 
 def named(documents: DataFrame) -> DataFrame:
-    """``doc_id``, set size ``n``, set name (NULL: no set) and the exceptional searches of every row."""
+    """``doc_id``, set size ``n``, set name (NULL: no set), ``slack`` and exceptional searches of every row."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def each(batch, a, b, s: Sets):
-            n, name = np.zeros(b - a, np.int64), np.zeros(b - a, np.int64)
-            n[s.rows], name[s.rows] = s.sizes, s.names
-            extra = [{"band": x, "seed": y, "one": z} for x, y, z in exceptions(s)] if len(s.rows) else []
+            n, name, slack = np.zeros(b - a, np.int64), np.zeros(b - a, np.int64), np.zeros((b - a, 2), np.int64)
+            extra = []
+            if len(s.rows):
+                n[s.rows], name[s.rows] = s.sizes, s.names
+                slack[s.rows], found = allowances(s)
+                extra = [{"band": x, "seed": y, "one": z} for x, y, z in found]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0)[a:b], pa.array(n), pa.array(name, mask=n == 0), pa.array([extra] + [[]] * (b - a - 1), kind)],
-                ["doc_id", "n", "name", "extra"],
+                [
+                    batch.column(0)[a:b],
+                    pa.array(n),
+                    pa.array(name, mask=n == 0),
+                    pa.array(slack[:, 0]),
+                    pa.array(slack[:, 1]),
+                    pa.array([extra] + [[]] * (b - a - 1), kind),
+                ],
+                ["doc_id", "n", "name", "slack", "slack_below", "extra"],
             )
 
         kind = pa.list_(pa.struct([("band", pa.int32()), ("seed", pa.int32()), ("one", pa.bool_())]))
         yield from _batches(rows, each)
 
-    schema = "doc_id long, n long, name long, extra array<struct<band:int,seed:int,one:boolean>>"
+    schema = "doc_id long, n long, name long, slack long, slack_below long, extra array<struct<band:int,seed:int,one:boolean>>"
     return shared.kept(documents.mapInArrow(run, schema))
 
 
 def grouped(documents: DataFrame, buckets: int, extra: list[tuple[int, int, bool]]) -> DataFrame:
-    """``gid`` and ``name`` of the sets that share a key, one of them indexed and one searching under it.
+    """``gid``, ``name``, ``role`` of sets that share a key, one indexed and one searching, and their ``keys``.
 
     Keys travel packed, a row per slice and bucket, five bytes a key; a bucket is a bounded share of all
-    keys. Groups of the same members are one group.
+    keys. Groups of the same members are one group of several keys.
     """
 
     def pack(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,7 +271,7 @@ def grouped(documents: DataFrame, buckets: int, extra: list[tuple[int, int, bool
             sets, keys, role, bucket = sets[order], keys[order], role[order], bucket[order]
             edges = np.searchsorted(bucket, np.arange(buckets + 1))
             low = (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-            high = (((keys >> np.uint64(32)) & np.uint64(0x3F)).astype(np.uint8) << 2) | role
+            high = (((keys >> np.uint64(32)) & np.uint64(0x1F)).astype(np.uint8) << 3) | role
             blobs, live = [], np.flatnonzero(np.diff(edges))
             for k in live:
                 x, y = edges[k], edges[k + 1]
@@ -267,9 +292,9 @@ def grouped(documents: DataFrame, buckets: int, extra: list[tuple[int, int, bool
             low = np.frombuffer(blob, np.uint32, total, 4 + 12 * n).astype(np.uint64)
             high = np.frombuffer(blob, np.uint8, total, 4 + 12 * n + 4 * total).astype(np.uint64)
             names.append(np.repeat(own, counts))
-            keys.append((high >> np.uint64(2) << np.uint64(34)) | (low << np.uint64(2)) | (high & np.uint64(3)))
+            keys.append((high >> np.uint64(3) << np.uint64(35)) | (low << np.uint64(3)) | (high & np.uint64(7)))
         name, key = np.concatenate(names), np.concatenate(keys)
-        role, key = (key & np.uint64(3)).astype(np.uint8), key >> np.uint64(2)
+        role, key = (key & np.uint64(7)).astype(np.uint8), key >> np.uint64(3)
         # Keys that come once, most of them, go before the larger sort.
         order = np.argsort(key, kind="stable")
         key = key[order]
@@ -280,21 +305,46 @@ def grouped(documents: DataFrame, buckets: int, extra: list[tuple[int, int, bool
         order = np.lexsort((name, key))
         key, name, role = key[order], name[order], role[order]
         if not len(key):
-            return pa.table({"gid": pa.array([], pa.int64()), "name": pa.array([], pa.int64())})
+            return pa.table({c: pa.array([], t) for c, t in (("gid", pa.int64()), ("name", pa.int64()), ("role", pa.int32()), ("keys", pa.int64()))})
         fresh = np.append(True, (key[1:] != key[:-1]) | (name[1:] != name[:-1]))
         role = np.bitwise_or.reduceat(role, np.flatnonzero(fresh))
         key, name = key[fresh], name[fresh]
         begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         size = np.diff(np.append(begin, len(key)))
-        good = (size > 1) & (np.bitwise_or.reduceat(role, begin) == 3)
-        gid = (words.mixed(np.add.reduceat(words.mixed(name.astype(np.uint64)), begin)) >> np.uint64(1)).astype(np.int64)
-        _, once = np.unique(gid[good], return_index=True)
+        roles = np.bitwise_or.reduceat(role, begin)
+        good = (size > 1) & ((roles & INDEX) > 0) & (roles > INDEX)
+        part = words.mixed(name.astype(np.uint64) + role.astype(np.uint64) * _KIND)
+        gid = (words.mixed(np.add.reduceat(part, begin)) >> np.uint64(1)).astype(np.int64)
+        gid, once, times = np.unique(gid[good], return_index=True, return_counts=True)
         picked = np.flatnonzero(good)[once]
-        at = np.arange(size[picked].sum()) + np.repeat(begin[picked] - (np.cumsum(size[picked]) - size[picked]), size[picked])
-        return pa.table({"gid": pa.array(np.repeat(gid[picked], size[picked])), "name": pa.array(name[at])})
+        sizes = size[picked]
+        at = np.arange(sizes.sum()) + np.repeat(begin[picked] - (np.cumsum(sizes) - sizes), sizes)
+        return pa.table(
+            {"gid": np.repeat(gid, sizes), "name": name[at], "role": role[at].astype(np.int32), "keys": np.repeat(times, sizes).astype(np.int64)}
+        )
 
     packed = documents.mapInArrow(pack, "bucket int, blob binary")
-    return packed.groupBy("bucket").applyInArrow(meet, "gid long, name long").distinct()
+    met = packed.groupBy("bucket").applyInArrow(meet, "gid long, name long, role int, keys long")
+    return met.groupBy("gid", "name", "role").agg(F.sum("keys").alias("keys"))
+
+
+def afforded(groups: DataFrame, slack: DataFrame) -> DataFrame:
+    """The groups that are still searched once every set has given up its longest lists.
+
+    A set may give up ``slack`` keys in its own band and ``slack_below`` in the next lower one, and still
+    shares a searched key with every partner. ``seeks`` marks the members that still search; members that
+    are only indexed stay for them.
+    """
+    sizes = groups.groupBy("gid").agg(F.count(F.lit(1)).alias("size"))
+    below = (F.col("role") >= SEARCH_BELOW).alias("below")
+    seekers = groups.where(F.col("role") > INDEX).join(sizes, "gid").select("gid", "name", "keys", "size", below).join(slack, "name")
+    order = Window.partitionBy("name", "below").orderBy(F.desc("size"), "gid").rowsBetween(Window.unboundedPreceding, 0)
+    allowed = F.when(F.col("below"), F.col("slack_below")).otherwise(F.col("slack"))
+    seekers = seekers.withColumn("spent", F.sum("keys").over(order)).where(F.col("spent") > allowed).select("gid", "name", F.lit(True).alias("seeks"))
+    live = groups.join(seekers, ["gid", "name"], "left").select("gid", "name", F.coalesce("seeks", F.lit(False)).alias("seeks"), "role")
+    live = live.where(F.col("seeks") | (F.col("role").bitwiseAND(INDEX) > 0)).drop("role")
+    sought = seekers.select("gid").distinct()
+    return live.join(sought, "gid", "left_semi")
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -329,8 +379,11 @@ def joined(documents: DataFrame) -> DataFrame:
     rows = named(texts)
     extra = [(r["band"], r["seed"], r["one"]) for r in rows.select(F.explode("extra").alias("e")).select("e.*").distinct().collect()]
     total = rows.agg(F.sum("n")).first()[0] or 0
-    groups = shared.kept(grouped(texts, max(16, -(-total // BUCKET_KEYS)), sorted(extra)))
-    classes = rows.where("n > 0").groupBy("name").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
+    met = shared.kept(grouped(texts, max(16, -(-total // BUCKET_KEYS)), sorted(extra)))
+    classes = rows.where("n > 0").groupBy("name").agg(
+        F.min("doc_id").alias("doc_id"), *[F.max(c).alias(c) for c in ("n", "slack", "slack_below")]
+    )
+    groups = shared.kept(afforded(met, classes.select("name", "slack", "slack_below")))
     members = groups.groupBy("name").agg(F.count(F.lit(1)).alias("degree"))
     wanted = shared.kept(members.join(classes, "name"))
     ids = wanted.select("doc_id", F.col("name").alias("_name")).where("doc_id IS NOT NULL")
@@ -348,7 +401,7 @@ def joined(documents: DataFrame) -> DataFrame:
         yield from _batches(batches, each)
 
     sets = shared.table(found.select("doc_id", "text", "_name").mapInArrow(collect, "name long, values binary").dropDuplicates(["name"]), "sets")
-    central = Window.partitionBy("gid").orderBy(F.desc("degree"), "name")
+    central = Window.partitionBy("gid").orderBy(F.desc("seeks"), F.desc("degree"), "name")
     ranked = groups.join(wanted.select("name", "degree"), "name").withColumn("star", F.row_number().over(central)).where(F.col("star") <= STARS)
     stars = shared.kept(ranked.select("gid", "star", F.col("name").alias("centre")))
     sizes = wanted.select("name", "n")
@@ -358,7 +411,7 @@ def joined(documents: DataFrame) -> DataFrame:
         if parts is None:
             now = now.withColumn("part", F.col("name"))
         else:
-            now = now.join(parts, F.col("name") == F.col("node"), "left").select("gid", "name", "n", F.coalesce("component", "name").alias("part"))
+            now = now.join(parts, F.col("name") == F.col("node"), "left").select("gid", "name", "seeks", "n", F.coalesce("component", "name").alias("part"))
         if step <= STARS:
             other = stars.where(F.col("star") == step).select("gid", F.col("centre").alias("b"))
             other = other.join(now.select("gid", F.col("name").alias("b"), F.col("n").alias("m"), F.col("part").alias("q")), ["gid", "b"])
@@ -366,10 +419,10 @@ def joined(documents: DataFrame) -> DataFrame:
             mixed = now.groupBy("gid").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p < q").select("gid")
             done = stars.select("gid", F.col("centre").alias("name"))
             now = now.join(mixed, "gid", "left_semi").join(done, ["gid", "name"], "left_anti")
-            other = now.select("gid", F.col("name").alias("b"), F.col("n").alias("m"), F.col("part").alias("q"))
+            other = now.where("seeks").select("gid", F.col("name").alias("b"), F.col("n").alias("m"), F.col("part").alias("q"))
         apart = (F.col("part") != F.col("q")) & (4 * F.least("n", "m") >= 3 * F.greatest("n", "m"))
         if step > STARS:
-            apart &= F.col("name") < F.col("b")
+            apart &= ~F.col("seeks") | (F.col("name") < F.col("b"))
         pairs = now.join(other, "gid").where(apart).select(F.least("name", "b").alias("a"), F.greatest("name", "b").alias("b")).distinct()
         new = shared.kept(verified(pairs, sets))
         links = new if links is None else links.unionAll(new)
