@@ -13,6 +13,7 @@ import zlib
 from bisect import bisect_right
 from collections import deque
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -38,10 +39,11 @@ def closest(counts: dict[int, int], target: int) -> dict[int, int]:
         copies = min(counts[length], target // length)
         if copies:
             trail.append((length, copies, reached))
-            more = reached
-            for _ in range(copies):
-                more = (more << length) & mask
-                reached |= more
+            step = 1
+            while copies:
+                step = min(step, copies)
+                reached |= (reached << step * length) & mask
+                copies, step = copies - step, 2 * step
             if reached >> target & 1:
                 break
     left, out = reached.bit_length() - 1, {}
@@ -78,14 +80,41 @@ class Rests:
         self.runs.setdefault(length, deque()).extend(runs)
 
 
-def plan(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[list[tuple], int]:
-    """Where the rests go, and the number of sequences.
+@dataclass
+class Plan:
+    """Rows ``(length, first rank, count, start, size, sequence, offset)``: of the rests of that length and
+    of these ranks, ``size`` tokens from ``start`` on go to as many sequences from ``sequence`` on, at
+    ``offset``. Rows without sequence lie one after the other from ``offset`` on in a stream of ``stream``
+    tokens, cut into sequences from ``packed`` on: full ones, then powers of two."""
+
+    rows: list[tuple]
+    packed: int
+    stream: int
+    capacity: int
+
+    @property
+    def bounds(self) -> list[int]:
+        """Where the sequences after the last full one of the stream begin, and its end."""
+        at = self.stream // self.capacity * self.capacity
+        out = [at]
+        for bit in reversed(range(self.capacity.bit_length())):
+            if self.stream % self.capacity >> bit & 1:
+                out.append(out[-1] + (1 << bit))
+        return out
+
+    @property
+    def sequences(self) -> int:
+        return self.packed + self.stream // self.capacity + len(self.bounds) - 1
+
+
+def plan(counts: dict[int, int], capacity: int = CAPACITY, patterns: int | None = None) -> Plan:
+    """Where the rests go.
 
-    A row ``(length, first rank, count, start, size, sequence, offset)`` sends the tokens from ``start``
-    on, ``size`` of them, of the rests of that length and of these ranks to as many sequences from
-    ``sequence`` on, at ``offset``. The longest rest opens each window. What slack is left is filled by
-    cutting a rest that remains; at the very end, less than a window is cut into powers of two, which
-    need no padding.
+    The longest rest opens each window. What slack the closest sum leaves is filled by cutting a rest that
+    remains, so no window is padded. Cutting can go on for long when counts are large, so after
+    ``patterns`` kinds of window (eight times the capacity) what is left is laid out as one stream and cut
+    at every capacity; the plan therefore has a size that no corpus exceeds. Less than a window at the very
+    end is cut into powers of two, which need no padding.
     """
     rests, rows, sequence = Rests(counts), [], 0
 
@@ -94,19 +123,21 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[list[tuple],
             rows.append((origin, rank, n, start, size, first, offset))
             first += n
 
-    while rests.counts:
+    for _ in range(8 * capacity if patterns is None else patterns):
+        if not rests.counts:
+            break
         longest = max(rests.counts)
         others = dict(rests.counts)
         others[longest] -= 1
         window = closest({k: n for k, n in others.items() if n}, capacity - longest)
         window[longest] = window.get(longest, 0) + 1
         slack = capacity - sum(k * n for k, n in window.items())
-        left = {k: n - window.get(k, 0) for k, n in rests.counts.items()}
         times = min(rests.counts[k] // n for k, n in window.items())
-        cut = min((k for k, n in left.items() if n > 0), default=None) if slack else None
-        if slack and cut is None:
-            break
+        cut = None
         if slack:
+            cut = min((k for k, n in rests.counts.items() if n > window.get(k, 0)), default=None)
+            if cut is None:
+                break
             times = min(times, rests.counts[cut] // (window.get(cut, 0) + 1))
         offset = 0
         for length, n in sorted(window.items(), reverse=True):
@@ -118,28 +149,21 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[list[tuple],
             send(runs, slack, sequence, offset)
             rests.put(cut - slack, [(o, rank, n, start + slack) for o, rank, n, start in runs])
         sequence += times
-    total, size, offset = sum(k * n for k, n in rests.counts.items()), 0, 0
+    stream = 0
     for length in sorted(rests.counts, reverse=True):
         for origin, rank, n, start in rests.take(length, rests.counts[length]):
-            for k in range(n):
-                at = 0
-                while at < length:
-                    if offset == size:
-                        sequence += bool(size)
-                        size, offset = 1 << (total.bit_length() - 1), 0
-                        total -= size
-                    part = min(length - at, size - offset)
-                    rows.append((origin, rank + k, 1, start + at, part, sequence, offset))
-                    at, offset = at + part, offset + part
-    return rows, sequence + bool(size)
+            rows.append((origin, rank, n, start, length, -1, stream))
+            stream += n * length
+    return Plan(rows, sequence, stream, capacity)
 
 
 class Places:
     """The plan, to be asked for the parts of one rest."""
 
-    def __init__(self, rows: list[tuple]):
+    def __init__(self, plan_: Plan):
+        self.plan, self.bounds = plan_, plan_.bounds
         self.by: dict[tuple[int, int], tuple[list, list]] = {}
-        for row in sorted(rows):
+        for row in sorted(plan_.rows):
             ranks, places = self.by.setdefault((row[0], row[3]), ([], []))
             ranks.append(row[1])
             places.append(row)
@@ -150,9 +174,25 @@ class Places:
         while at < length:
             ranks, places = self.by[length, at]
             _, first, _, start, size, sequence, offset = places[bisect_right(ranks, rank) - 1]
-            yield start, size, sequence + rank - first, offset
+            if sequence >= 0:
+                yield start, size, sequence + rank - first, offset
+            else:
+                yield from self._streamed(start, size, offset + (rank - first) * size)
             at += size
 
+    def _streamed(self, start: int, size: int, position: int) -> Iterator[tuple[int, int, int, int]]:
+        capacity, full = self.plan.capacity, self.bounds[0]
+        while size:
+            if position < full:
+                number, offset = divmod(position, capacity)
+                room = capacity - offset
+            else:
+                k = bisect_right(self.bounds, position) - 1
+                number, offset, room = full // capacity + k, position - self.bounds[k], self.bounds[k + 1] - position
+            part = min(size, room)
+            yield start, part, self.plan.packed + number, offset
+            start, size, position = start + part, size - part, position + part
+
 
 def tokenized(documents: DataFrame, vocabulary: str, end: int = 0, capacity: int = CAPACITY) -> DataFrame:
     """Ids of every document with ``end`` after them, kept as a table.
@@ -208,11 +248,12 @@ def packed(documents: DataFrame, vocabulary: str, end: int = 0, capacity: int =
     per_part = staged.groupBy("part", "length").agg(
         F.count(F.lit(1)).alias("_n"), F.sum(F.floor(F.col("n") / capacity)).alias("_full")
     )
-    rows, sequences = plan({r["length"]: r["n"] for r in per_part.where(rest).groupBy("length").agg(F.sum("_n").alias("n")).collect()}, capacity)
-    places = staged.sparkSession.sparkContext.broadcast(Places(rows))
+    lengths = per_part.where(rest).groupBy("length").agg(F.sum("_n").alias("n")).collect()
+    layout = plan({r["length"]: r["n"] for r in lengths}, capacity)
+    places = staged.sparkSession.sparkContext.broadcast(Places(layout))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     full_base = per_part.groupBy("part").agg(F.sum("_full").alias("_f")).select(
-        "part", (F.coalesce(F.sum("_f").over(before), F.lit(0)) + sequences).alias("base")
+        "part", (F.coalesce(F.sum("_f").over(before), F.lit(0)) + layout.sequences).alias("base")
     )
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     rest_base = per_part.where(rest).select("part", "length", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("base"))
