@@ -148,8 +148,9 @@ def cues(feature: np.ndarray, first: np.ndarray, toxic: np.ndarray, least: int =
     """Tags of training tokens from the labels of their documents.
 
     Near copies count as one document, else the words of a much copied one would look like evidence.
-    A feature is a cue if ``least`` toxic documents and one of a hundred hold it, and its share of
-    them is forty times its share of the others. A token is toxic if its document is and one of its
+    A feature is a cue if its share of the toxic documents is forty times its share of the others, and
+    so many toxic ones hold it that, were they drawn from all, less than one in a hundred trials would
+    show such a feature among all those seen. A token is toxic if its document is and one of its
     features is a cue. Returns the tags and the features that may carry weight: those whose share is
     at least forty times the other.
     """
@@ -165,7 +166,9 @@ def cues(feature: np.ndarray, first: np.ndarray, toxic: np.ndarray, least: int =
             counts[label] += np.bincount(np.unique(owner + feature[mine, k]) % size, minlength=size)
     share = counts / np.maximum(1, held)[:, None]
     telling = (counts[1] >= least) & (share[1] >= 40 * share[0])
-    cue = telling & (counts[1] >= held[1] / 100)
+    odds = np.log((held.sum() + 1) / (held[1] + 1e-9)) if held[0] else 1.0
+    enough = np.log(100 * max(1, np.count_nonzero(counts[1]))) / max(odds, 1e-3)
+    cue = telling & (counts[1] >= min(enough, held[1] / 4))
     return cue[feature].any(axis=1) & (toxic[row] == 1), telling
 
 
