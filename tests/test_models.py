@@ -53,6 +53,19 @@ def test_ols_with_categories_and_interaction(grades):
     assert fitted == pytest.approx(residual @ residual / len(pdf))
 
 
+def test_rows_without_target_or_regressor_are_scored(grades, frame):
+    design = Design(["a", "b"], {"school": regression.category(grades, "school")})
+    fit = regression.ols(grades, "y", design)
+    new = frame("y double, a double, b double, school string", [(None, 3.0, 600.0, "south"), (1.0, None, 600.0, "west")])
+    got = {r.school: r for r in fit.predict(new).collect()}
+    assert got["south"].fitted is not None and got["south"].residual is None
+    assert got["west"].fitted is None and got["west"].residual is None
+    marks = frame("y int, x double", [(int(k % 3 == 0), float(k % 7)) for k in range(60)] + [(None, 2.0), (1, None)])
+    scored = regression.logistic_scores(marks, "y", ["x"]).collect()
+    assert len(scored) == 62
+    assert sum(r.probability is None for r in scored) == 1
+
+
 def test_adding_the_category_raises_r2(grades):
     levels = regression.category(grades, "school")
     fits = {

@@ -292,9 +292,10 @@ def test_dedup_first(frame, rows):
     assert rows(frames.dedup_first(df, ["k"], ["t", "id"])) == [("a", 1, 2, "z")]
 
 
-def test_levels_refuse_a_key_column(spark):
-    with pytest.raises(ValueError):
-        frames.levels_of(spark.range(50), "id", limit=10)
+def test_levels_come_from_the_data(frame, rows):
+    df = frame("k string, v int", [("b", 1), (None, 2), ("a", 3), ("b", 4)])
+    assert frames.levels_of(df, "k") == ["a", "b"]
+    assert frames.unstack(df, [], "k", None, F.sum("v")).collect()[0].asDict() == {"a": 3, "b": 5}
 
 
 def test_nearest_is_independent_of_blocks(frame, rows):

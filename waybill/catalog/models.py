@@ -52,7 +52,8 @@ def _lines(t):
     return t.lineitem.select("l_extendedprice", "l_quantity", "l_discount", "l_returnflag")
 
 
-_FLAGS = {"l_returnflag": (("A", "N", "R"), "A")}
+def _flags(t):
+    return {"l_returnflag": regression.category(t.lineitem, "l_returnflag")}
 
 
 @query(f"""
@@ -65,7 +66,7 @@ UNION ALL SELECT 'intercept', {r("a", 4)} FROM a WHERE f = 'A'
 UNION ALL SELECT 'l_returnflag_' || f, {r("a - (SELECT a FROM a WHERE f = 'A')", 4)} FROM a WHERE f <> 'A'
 """)
 def ols_dummies(t):
-    fit = regression.ols(_lines(t), "l_extendedprice", Design(["l_quantity"], _FLAGS))
+    fit = regression.ols(_lines(t), "l_extendedprice", Design(["l_quantity"], _flags(t)))
     return publish(fit.coefficients.select("term", "coefficient"), 4)
 
 
@@ -107,7 +108,7 @@ UNION ALL SELECT 'l_returnflag_' || f, {r("a - (SELECT a FROM a WHERE f = 'A')",
 """)
 def ols_full(t):
     fit = regression.ols(
-        _lines(t), "l_extendedprice", Design(["l_quantity", "l_discount"], _FLAGS)
+        _lines(t), "l_extendedprice", Design(["l_quantity", "l_discount"], _flags(t))
     )
     numeric = F.col("term").isin("l_quantity", "l_discount")
     return publish(
@@ -122,7 +123,7 @@ def ols_full(t):
 def ols_summary(t):
     """The whole coefficient table: errors, t and p values included."""
     fit = regression.ols(
-        _lines(t), "l_extendedprice", Design(["l_quantity", "l_discount"], _FLAGS)
+        _lines(t), "l_extendedprice", Design(["l_quantity", "l_discount"], _flags(t))
     )
     return publish(fit.coefficients, 4)
 
@@ -144,7 +145,7 @@ def compare_models(t):
     lines = _lines(t)
     fits = {
         "simple": regression.ols(lines, "l_extendedprice", Design(["l_quantity"])),
-        "flags": regression.ols(lines, "l_extendedprice", Design((), _FLAGS)),
+        "flags": regression.ols(lines, "l_extendedprice", Design((), _flags(t))),
     }
     out = regression.compare_models(fits).drop("std_error")
     return publish(out, 4, r2=6)

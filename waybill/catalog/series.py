@@ -143,9 +143,9 @@ def backtest_errors(t):
 
 @query(f"""
 WITH {_DIFF_SQL},
-params AS (SELECT * FROM (
-  SELECT series_id, ts, value, regr_count(value, x) OVER w AS n, regr_intercept(value, x) OVER w AS alpha, regr_slope(value, x) OVER w AS beta
-  FROM d WINDOW w AS (PARTITION BY series_id ORDER BY ts ROWS UNBOUNDED PRECEDING)) WHERE n >= 3), {_BACKTEST_SQL}
+params AS (SELECT series_id, ts, value, CASE WHEN n >= 3 THEN a END AS alpha, CASE WHEN n >= 3 THEN b END AS beta FROM (
+  SELECT series_id, ts, value, regr_count(value, x) OVER w AS n, regr_intercept(value, x) OVER w AS a, regr_slope(value, x) OVER w AS b
+  FROM d WINDOW w AS (PARTITION BY series_id ORDER BY ts ROWS UNBOUNDED PRECEDING))), {_BACKTEST_SQL}
 SELECT series_id, {_iso("vintage")} AS vintage, horizon, {_iso("due")} AS ts, {r("forecast")} AS forecast, {r("actual")} AS actual,
        {r("error")} AS error FROM bt
 """)

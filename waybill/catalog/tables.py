@@ -210,12 +210,13 @@ def impute_missing_prices(t):
 @query("""
 SELECT event_id, CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS event_type_error,
        CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS event_type_purchase,
+       CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END AS event_type_signup,
        CASE WHEN event_type = 'view' THEN 1 ELSE 0 END AS event_type_view FROM events
 """)
 def dummies(t):
     few = t.events.select("event_id", "event_type")
-    levels = ["click", "error", "purchase", "view"]
-    return frames.dummies(few, "event_type", levels, "click").drop("event_type")
+    levels = frames.levels_of(few, "event_type")
+    return frames.dummies(few, "event_type", levels, levels[0] if levels else None).drop("event_type")
 
 
 @query("""
@@ -241,7 +242,7 @@ SELECT 'Total', CAST(sum(CASE WHEN l_linestatus = 'F' THEN 1 END) AS BIGINT),
 """)
 def wide_crosstab_with_total(t):
     counts = contingency.pair_counts(t.lineitem, "l_returnflag", "l_linestatus")
-    wide = frames.unstack(counts, ["l_returnflag"], "l_linestatus", ["F", "O"], F.sum("n"))
+    wide = frames.unstack(counts, ["l_returnflag"], "l_linestatus", None, F.sum("n"))
     return frames.with_total_row(wide, "l_returnflag")
 
 
@@ -474,7 +475,7 @@ def prob_given(t):
 
 
 @query(f"""
-SELECT m.label, count(*) AS n FROM orders JOIN (VALUES ('1-URGENT', 'fast'), ('2-HIGH', 'fast'), ('5-LOW', 'slow')) AS m(p, label)
+SELECT m.label, count(*) AS n FROM orders LEFT JOIN (VALUES ('1-URGENT', 'fast'), ('2-HIGH', 'fast'), ('5-LOW', 'slow')) AS m(p, label)
 ON o_orderpriority = m.p GROUP BY 1
 """)
 def lookup_merge(t):
@@ -484,4 +485,4 @@ def lookup_merge(t):
         "o_orderpriority string, label string",
     )
     counts = t.orders.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
-    return counts.join(labels, "o_orderpriority").groupBy("label").agg(F.sum("n").alias("n"))
+    return counts.join(labels, "o_orderpriority", "left").groupBy("label").agg(F.sum("n").alias("n"))

@@ -96,9 +96,13 @@ def melt(
     return df.unpivot(list(ids), list(values), name, out)
 
 
-def unstack(df: DataFrame, ids: Sequence[str], column: str, levels: Sequence, value: Column) -> DataFrame:
-    """Long to wide for the named levels (naming them saves a pass over the data)."""
-    return df.groupBy(*ids).pivot(column, list(levels)).agg(value)
+def unstack(df: DataFrame, ids: Sequence[str], column: str, levels: Sequence | None, value: Column) -> DataFrame:
+    """Long to wide, a column per level that the data hold.
+
+    Naming ``levels`` saves a pass over the data and selects: rows of other levels add no column.
+    """
+    levels = levels_of(df, column) if levels is None else list(levels)
+    return df.groupBy(*ids).pivot(column, levels).agg(value)
 
 
 def dummies(
@@ -115,13 +119,10 @@ def dummies(
     )
 
 
-def levels_of(df: DataFrame, column: str, limit: int = 10_000) -> list[str]:
-    """Distinct values of a category in order; refuses columns that are not categories."""
+def levels_of(df: DataFrame, column: str) -> list:
+    """Distinct values of a category, without NULL, in order. Each is meant to become a column."""
     values = df.select(column).where(F.col(column).isNotNull()).distinct()
-    rows = values.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} levels")
-    return sorted(r[0] for r in rows)
+    return sorted(r[0] for r in values.collect())
 
 
 def with_total_row(df: DataFrame, label: str, name: str = "Total") -> DataFrame:

@@ -109,12 +109,14 @@ class OlsFit:
     quality: DataFrame
 
     def predict(self, df: DataFrame) -> DataFrame:
-        """``df`` with the fitted value and the residual."""
-        out = self.model.transform(_assembled(df, self.design, self.y))
+        """Every row of ``df`` with the fitted value and the residual.
+
+        The target may be NULL; then only the residual is. A NULL regressor makes both NULL.
+        """
+        out = self.model.transform(_assembled(df, self.design, None))
+        fitted = F.nanvl("_fitted", F.lit(None).cast("double"))
         return out.select(
-            *df.columns,
-            F.col("_fitted").alias("fitted"),
-            (F.col(self.y) - F.col("_fitted")).alias("residual"),
+            *df.columns, fitted.alias("fitted"), (F.col(self.y) - fitted).alias("residual")
         )
 
 
@@ -195,9 +197,10 @@ def logit_fit(df: DataFrame, y: str, xs: Sequence[str], pre_aggregate: bool = Tr
 
 
 def logistic_scores(df: DataFrame, y: str, xs: Sequence[str]) -> DataFrame:
-    """``df`` with the class-1 probability of an unregularised logistic classifier.
+    """Every row of ``df`` with the class-1 probability of an unregularised logistic classifier.
 
-    Equal rows are counted and weighted before the iterations.
+    Equal rows are counted and weighted before the iterations. Rows without target are scored, too;
+    a NULL regressor makes the probability NULL.
     """
     design = Design(xs)
     counted = df.groupBy(F.col(y).cast("double").alias(y), *xs).agg(
@@ -212,6 +215,7 @@ def logistic_scores(df: DataFrame, y: str, xs: Sequence[str]) -> DataFrame:
         maxIter=200,
         tol=1e-10,
     ).fit(_assembled(counted, design, y))
-    return model.transform(_assembled(df, design, y)).select(
-        *df.columns, vector_to_array("_probability")[1].alias("probability")
+    probability = F.nanvl(vector_to_array("_probability")[1], F.lit(None).cast("double"))
+    return model.transform(_assembled(df, design, None)).select(
+        *df.columns, probability.alias("probability")
     )

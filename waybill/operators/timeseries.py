@@ -160,20 +160,21 @@ def backtest(
     """Forecasts of every vintage from ``start`` to ``end`` against what came later.
 
     ``refit=False`` estimates once on the whole series (pseudo out of sample);
-    ``refit=True`` estimates each vintage on the values known by then. Horizons
-    start at 1; a forecast for a period without an actual has a NULL error.
+    ``refit=True`` estimates each vintage on the values known by then; a vintage with
+    fewer than three pairs of values has NULL forecasts. Horizons start at 1; a forecast
+    for a period without an actual has a NULL error.
     """
     if refit:
         pairs = series.withColumn("_x", F.lag("value").over(_along()))
         known = _along(rows=_SO_FAR)
+        enough = F.regr_count("value", "_x").over(known) >= 3
         vintages = pairs.select(
             "series_id",
             "ts",
             "value",
-            F.when(F.regr_count("value", "_x").over(known) >= 3, F.lit(True)).alias("_enough"),
-            F.regr_intercept("value", "_x").over(known).alias("alpha"),
-            F.regr_slope("value", "_x").over(known).alias("beta"),
-        ).where("_enough")
+            F.when(enough, F.regr_intercept("value", "_x").over(known)).alias("alpha"),
+            F.when(enough, F.regr_slope("value", "_x").over(known)).alias("beta"),
+        )
     else:
         vintages = series.join(ar1_fit(series).select("series_id", "alpha", "beta"), "series_id")
     chosen = between_dates(vintages, start, end).select(
