@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import combinations
@@ -49,17 +50,17 @@ def profile(text: bytes) -> np.ndarray:
 
 def svm(x: np.ndarray, y: np.ndarray, cost: float = 10.0, rounds: int = 200) -> tuple[np.ndarray, float]:
     """Linear machine with squared hinge loss, by accelerated gradient steps; ``y`` is -1 or 1."""
-    weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
-    rows = np.hstack([x, np.ones((len(x), 1))])
-    v = np.random.default_rng(0).normal(size=rows.shape[1])
+    weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(x.dtype)
+    rows, y = np.hstack([x, np.ones((len(x), 1), x.dtype)]), y.astype(x.dtype)
+    v = np.random.default_rng(0).normal(size=rows.shape[1]).astype(x.dtype)
     for _ in range(20):
         v = rows.T @ (weight * (rows @ v))
-        norm = np.linalg.norm(v)
+        norm = float(np.linalg.norm(v))
         v /= norm or 1.0
     step = 1.0 / (1.0 + 2.0 * cost * norm)
-    w = ahead = np.zeros(rows.shape[1])
+    w = ahead = np.zeros(rows.shape[1], x.dtype)
     for k in range(rounds):
-        slack = np.maximum(0.0, 1.0 - y * (rows @ ahead))
+        slack = np.maximum(x.dtype.type(0), 1 - y * (rows @ ahead))
         new = ahead - step * (ahead - 2.0 * cost * (rows.T @ (weight * y * slack)))
         ahead, w = new + k / (k + 3.0) * (new - w), new
     return w[:-1], float(w[-1])
@@ -180,14 +181,16 @@ def fit(documents: DataFrame, per_language: int = PER_LANGUAGE, count: int | Non
     def profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                data = profile(text.encode()).astype(np.float32).tobytes()
+                data = zlib.compress(profile(text.encode()).astype(np.float32).tobytes(), 1)
                 yield pa.RecordBatch.from_pydict({"lang": [lang], "profile": pa.array([data], pa.binary())})
 
     found = rows.select("lang", "text").mapInArrow(profiles, "lang string, profile binary").toArrow()
     if not found.num_rows:
         return Model()
-    matrix = np.frombuffer(b"".join(found["profile"].to_pylist()), np.float32).reshape(found.num_rows, -1)
-    return train(found["lang"].to_pylist(), matrix.astype(np.float64), count)
+    matrix = np.empty((found.num_rows, 1 << BITS), np.float32)
+    for row, data in zip(matrix, found["profile"]):
+        row[:] = np.frombuffer(zlib.decompress(data.as_buffer()), np.float32)
+    return train(found["lang"].to_pylist(), matrix, count)
 
 
 def predict(documents: DataFrame, model: Model) -> DataFrame:
