@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm import ann, chat, decontam, langid, ngram_join, packing, sharding, shared, substrings, toxicity, warc
+from waybill.llm import ann, bpe, chat, decontam, importance, langid, ngram_join, packing, phrases, sharding, shared, substrings, toxicity, warc
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -147,3 +147,87 @@ FROM documents d JOIN r USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY d.doc
 def op5_suffix_array_dedup(spark: SparkSession, directory: str) -> DataFrame:
     """What is left of every document without 100-byte strings that the corpus holds earlier."""
     return substrings.removed(_read(spark, directory, "documents"))
+
+
+@_query
+def op11_bpe_round_trip(spark: SparkSession, directory: str) -> DataFrame:
+    """Digests of every document's ids and of the text that they decode to."""
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    ids = bpe.encoded(_read(spark, directory, "documents").select("doc_id", "text"), vocabulary)
+    return bpe.decoded(ids, vocabulary).select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
+@_query
+def op12_collocations(spark: SparkSession, directory: str) -> DataFrame:
+    """Each language's 2000 most cohesive phrases of two to four words."""
+    return phrases.collocations(_read(spark, directory, "documents"))
+
+
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES["op12_collocations"] = f"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWERED}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+g AS (
+  SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i : i + m - 1], ' '))) AS phrase
+  FROM w, (SELECT unnest([1, 2, 3, 4]) AS m)
+), f AS (SELECT lang, m, phrase, count(*)::HUGEINT AS f FROM g GROUP BY ALL),
+t AS (SELECT lang, sum(f) AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE m >= 2 AND f >= 30),
+k AS (SELECT *, unnest(range(1, m)) AS k FROM c),
+s AS (
+  SELECT k.lang, k.phrase, k.k, k.f AS a, x.f AS l, y.f AS r, (2000000 * k.f - (2000000 * k.f) % (x.f + y.f)) / (x.f + y.f) AS score
+  FROM k JOIN f x ON x.lang = k.lang AND x.phrase = array_to_string(k.w[1 : k.k], ' ')
+  JOIN f y ON y.lang = k.lang AND y.phrase = array_to_string(k.w[k.k + 1 :], ' ')
+), b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+i AS (
+  SELECT c.lang, c.f, array_to_string(c.w[i : i + m2 - 1], ' ') AS phrase
+  FROM c, (SELECT unnest([2, 3]) AS m2), (SELECT unnest([1, 2, 3]) AS i) WHERE m2 < m AND i + m2 - 1 <= m
+), h AS (SELECT lang, phrase, max(f) AS f FROM i GROUP BY ALL),
+o AS (
+  SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank, b.phrase, a, l, r, n, score
+  FROM b JOIN t ON t.lang = b.lang LEFT JOIN h ON h.lang = b.lang AND h.phrase = b.phrase WHERE coalesce(100 * h.f < 80 * a, true)
+)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score FROM o WHERE rank <= 2000
+"""
+
+
+@_query
+def op13_importance_resampling(spark: SparkSession, directory: str) -> DataFrame:
+    """Every document's weight towards the benchmark's features, and the quarter that is drawn."""
+    return importance.resampled(_read(spark, directory, "documents"), _read(spark, directory, "benchmark"))
+
+
+ORACLES["op13_importance_resampling"] = f"""
+WITH d AS (
+  SELECT 0 AS kind, doc_id, regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+  UNION ALL SELECT 1, item_id, regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark
+), f AS (
+  SELECT kind, doc_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS feature FROM d
+), crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8),
+    lambda c, j: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS e
+), u AS (
+  SELECT feature, xor(list_reduce(list_transform(range(octet_length(encode(feature))),
+    lambda i: ('0x' || substr(hex(encode(feature)), 2 * i + 1, 2))::BIGINT),
+    lambda c, b: xor(c >> 8, e[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT feature FROM f), crc
+), n AS (SELECT bucket, count(*) FILTER (kind = 0) AS s, count(*) FILTER (kind = 1) AS t FROM f JOIN u USING (feature) GROUP BY bucket),
+a AS (SELECT coalesce(sum(s), 0)::DOUBLE AS s, coalesce(sum(t), 0)::DOUBLE AS t FROM n),
+g AS (SELECT bucket, floor(1000 * ln(((n.t + 1) * (a.s + 10000)) / ((n.s + 1) * (a.t + 10000))))::BIGINT AS gain FROM n, a),
+v AS (SELECT doc_id, count(*) AS n_features, floor(sum(gain) / count(*)::DOUBLE)::BIGINT AS weight FROM f JOIN u USING (feature) JOIN g USING (bucket) WHERE kind = 0 GROUP BY doc_id),
+z AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0)
+    + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM d LEFT JOIN v USING (doc_id) WHERE kind = 0
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place, count(*) FILTER (n_words >= 20) OVER () * 25 // 100 AS drawn FROM z
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= drawn THEN place END AS rank FROM r
+"""
