@@ -1,6 +1,7 @@
 """Chunked ordered operators equal their plain window forms, hot groups included."""
 
 import random
+from decimal import Decimal
 
 import pandas as pd
 import pytest
@@ -26,46 +27,73 @@ def skewed(frame):
 
 
 def test_running_totals(skewed, rows):
-    known = skewed.where("k IS NOT NULL")
-    w = W.partitionBy("k").orderBy("t", "id").rowsBetween(W.unboundedPreceding, 0)
-    plain = known.select("id", F.sum(F.lit(1)).over(w).alias("n"))
-    for chunk in (F.floor(F.col("t") / 10), F.lit(0), F.col("t")):
-        got = ordered.running_totals(skewed, ["k"], ["t", "id"], {"n": F.lit(1)}, chunk)
-        assert rows(got, "id", "n") == rows(plain)
+    w = W.partitionBy("k").orderBy("t", "id")
+    so_far = w.rowsBetween(W.unboundedPreceding, 0)
+    plain = skewed.select(
+        "id", F.sum(F.lit(1)).over(so_far).alias("n"), F.sum(F.lit(1)).over(W.partitionBy("k")).alias("n_total")
+    )
+    for parts in (None, 1, 3, 40):
+        got = ordered.running_totals(skewed, ["k"], ["t", "id"], {"n": F.lit(1)}, totals=True, parts=parts)
+        assert rows(got, "id", "n", "n_total") == rows(plain)
+        assert got.schema["n"].dataType == plain.schema["n"].dataType
 
 
 def test_running_totals_descending_without_keys(skewed, rows):
     w = W.orderBy(F.desc("t"), F.desc("id")).rowsBetween(W.unboundedPreceding, 0)
     plain = skewed.select("id", F.sum("t").over(w).alias("s"))
-    got = ordered.running_totals(
-        skewed, [], ["t", "id"], {"s": F.col("t")}, F.floor(F.col("t") / 7), descending=True
-    )
-    assert rows(got, "id", "s") == rows(plain)
+    for parts in (None, 13):
+        got = ordered.running_totals(skewed, [], ["t", "id"], {"s": F.col("t")}, descending=True, parts=parts)
+        assert rows(got, "id", "s") == rows(plain)
+
+
+def test_running_decimals_keep_their_type(frame, rows):
+    df = frame("id int, v decimal(12,2)", [(i, Decimal(i) / 4) for i in range(50)])
+    one, many = (ordered.running_totals(df, [], ["id"], {"s": F.col("v")}, parts=p) for p in (1, 9))
+    assert one.schema == many.schema
+    assert rows(one) == rows(many)
 
 
 def test_history(skewed, rows):
-    known = skewed.where("k IS NOT NULL")
+    # NULL order values, and one order value that fills several parts
+    mixed = skewed.withColumn("t", F.when(F.col("id") % 50 == 1, None).when(F.col("id") % 6 == 0, 77).otherwise(F.col("t")))
     by_row = W.partitionBy("k").orderBy("t", "id")
     whole = by_row.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    plain = known.select(
+    plain = mixed.select(
         "id",
         F.rank().over(W.partitionBy("k").orderBy("t")).alias("position"),
         F.lag("v").over(by_row).alias("v_prev"),
         F.first("v", ignorenulls=True).over(whole).alias("v_first"),
     )
-    got = ordered.with_history(skewed, ["k"], ["t", "id"], ["v"], F.floor(F.col("t") / 13))
-    assert rows(got, "id", "position", "v_prev", "v_first") == rows(plain)
+    want = rows(plain.select("id", F.col("position").cast("long"), "v_prev", "v_first"))
+    for parts in (None, 2, 37):
+        got = ordered.with_history(mixed, ["k"], ["t", "id"], ["v"], parts=parts)
+        assert rows(got, "id", "position", "v_prev", "v_first") == want
+    assert got.groupBy().agg(F.count("position")).collect()[0][0] == 3001
 
 
 def test_quantiles_match_pandas(skewed):
     probs = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.9, "e": 1.0}
-    got = ordered.quantiles(skewed.where("k IS NOT NULL"), ["k"], "v", probs).toPandas()
     pdf = skewed.where("k IS NOT NULL").toPandas().dropna()
     want = pdf.groupby("k").v.quantile(list(probs.values())).unstack()
     want.columns = list(probs)
-    pd.testing.assert_frame_equal(
-        got.set_index("k").sort_index(), want.sort_index(), check_names=False
+    for parts in (None, 25):
+        got = ordered.quantiles(skewed, ["k"], "v", probs, parts).toPandas()
+        pd.testing.assert_frame_equal(
+            got.set_index("k").sort_index(), want.sort_index(), check_names=False
+        )
+
+
+def test_ranges_split_close_values(spark):
+    """All values of one group lie between 1.000e9 and 1.001e9; ranges stay even."""
+    df = spark.range(20_000).select(
+        F.lit("a").alias("k"), (F.lit(1e9) + F.pmod(F.xxhash64("id"), F.lit(1_000_000))).alias("v")
     )
+    counts = df.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
+    dealt, several = ordered.ranged(counts, ["k"], [F.col("v")], parts=16)
+    sizes = [r["count"] for r in dealt.groupBy(ordered.PART).count().collect()]
+    assert several and len(sizes) == 16 and max(sizes) < 3 * sum(sizes) / 16
+    got = ordered.quantiles(df, ["k"], "v", {"m": 0.5, "p99": 0.99}, parts=16).collect()[0]
+    assert (got["m"], got["p99"]) == tuple(df.select(F.percentile("v", F.array(F.lit(0.5), F.lit(0.99)))).collect()[0][0])
 
 
 def test_quantiles_without_values(frame):

@@ -109,7 +109,6 @@ def running_proportion(t):
             few,
             ["o_orderdate", "o_orderkey"],
             F.col("o_orderstatus") == "F",
-            ordered.block_chunk("o_orderdate", "o_orderkey"),
         ).select("o_orderkey", "trials", "proportion")
     )
 
@@ -129,7 +128,6 @@ def running_share_per_client(t):
             "hits": F.expr("CASE WHEN o_orderstatus = 'F' THEN 1L ELSE 0L END"),
             "orders_to_go": F.lit(1).cast("long"),
         },
-        ordered.block_chunk("o_orderdate", "o_orderkey"),
         descending=True,
     )
     return summed.selectExpr(

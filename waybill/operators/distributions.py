@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waybill.functions import log_choose, log_factorial, safe_ratio
-from waybill.operators.ordered import number_chunk, running_totals
+from waybill.operators.ordered import running_totals
 from waybill.operators.quality import histogram
 from waybill.operators.staging import one_row, staged
 
@@ -22,7 +22,7 @@ def empirical(df: DataFrame, column: str) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"))
     )
     total = counts.agg(F.sum("n")).scalar()
-    summed = running_totals(counts, [], ["x"], {"_cum": F.col("n")}, number_chunk("x"))
+    summed = running_totals(counts, [], ["x"], {"_cum": F.col("n")})
     return summed.select(
         "x", "n", safe_ratio("n", total).alias("pmf"), safe_ratio("_cum", total).alias("cdf")
     )
@@ -256,7 +256,7 @@ def lotus(df: DataFrame, column: str, transform: Callable[[Column], Column]) ->
 
 
 def running_proportion(
-    df: DataFrame, order: Sequence[str], flag: Column, chunk: Column, keys: Sequence[str] = ()
+    df: DataFrame, order: Sequence[str], flag: Column, keys: Sequence[str] = ()
 ) -> DataFrame:
     """Share of true values among the rows so far, along ``order``."""
     summed = running_totals(
@@ -264,7 +264,6 @@ def running_proportion(
         keys,
         order,
         {"_hits": flag.cast("long"), "trials": F.lit(1).cast("long")},
-        chunk,
     )
     return summed.withColumn("proportion", safe_ratio("_hits", "trials")).drop("_hits")
 

@@ -143,7 +143,7 @@ def histogram(
         width.alias("_width"),
         F.col("_known.total").alias("_total"),
     )
-    summed = running_totals(full, [], ["bin"], {"_cum": F.col("n")}, F.floor(F.col("bin") / 1000))
+    summed = running_totals(full, [], ["bin"], {"_cum": F.col("n")})
     return summed.select(
         "bin",
         "left_edge",

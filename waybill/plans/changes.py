@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waybill.functions import change_value, lenient_date, strip_quotes
 from waybill.operators.joins import spread_join
-from waybill.operators.ordered import minute_chunk, quantiles, with_history
-from waybill.operators.staging import staged
+from waybill.operators.ordered import quantiles, with_history
 
 
 def change_extract(
@@ -52,21 +51,18 @@ def change_trail(
     changed_at: str = "changed_at",
     tie_break: str = "audit_id",
     value: str = "new_value",
-    chunk: Column | None = None,
 ) -> DataFrame:
     """Each change with its order, previous and first date and the days moved.
 
     Text that is no date becomes NULL. The first record of a key has no distance
-    to the first. Keys of any size are handled minute by minute (``chunk``). The dated
-    changes, usually a join of several tables, are read twice and therefore kept.
+    to the first. A key of any size is split along its order.
     """
-    dated = staged(changes.withColumn("change_date", lenient_date(strip_quotes(value))))
+    dated = changes.withColumn("change_date", lenient_date(strip_quotes(value)))
     trail = with_history(
         dated,
         [key],
         [changed_at, tie_break],
         ["change_date"],
-        minute_chunk(changed_at) if chunk is None else chunk,
         position="change_order",
     )
     from_first = F.datediff("change_date", "change_date_first")
