@@ -316,3 +316,30 @@ def test_nearest_is_independent_of_blocks(frame, rows):
     ab = matrix.where("site_a = 's00' AND site_b = 's07'").first().km
     ba = matrix.where("site_a = 's07' AND site_b = 's00'").first().km
     assert ab == pytest.approx(ba)
+
+
+def test_nearest_by_boxes_equals_all_distances(spark):
+    """A dense town, the poles, the date line and equal places; boxes within boxes."""
+    rng = random.Random(8)
+    town = [(f"t{i:04d}", 48.0 + rng.random() / 50, 11.0 + rng.random() / 50) for i in range(600)]
+    wide = [(f"w{i:03d}", rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(150)]
+    odd = [("n1", 90.0, 0.0), ("n0", 90.0, 0.0), ("d1", 0.0, 179.9), ("d2", 0.0, -179.9), ("none", None, 1.0)]
+    places = town + wide + odd
+    points = [(i, rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(150)]
+    points += [(200 + i, 48.0 + rng.random() / 40, 11.0 + rng.random() / 40) for i in range(50)]
+    points += [(300, 90.0, 45.0), (301, 0.0, 180.0), (302, None, 0.0)]
+    schema = "id long, lat double, lon double"
+    p = spark.createDataFrame(points, schema)
+    s = spark.createDataFrame(places, "site string, lat double, lon double")
+    plain = geo.nearest(p, s, "id", "site", block=5000)
+    assert plain.count() == len(points) - 1
+    want = {r["id"]: (r["nearest_site"], r["km"]) for r in plain.collect()}
+    for block in (40, 200):
+        got = {r["id"]: (r["nearest_site"], r["km"]) for r in geo.nearest(p, s, "id", "site", block=block).collect()}
+        assert got == want
+    assert want[300][0] == "n0" and want[301][0] == "d1"
+
+
+def test_nearest_without_sites(frame):
+    none = frame("site string, lat double, lon double", [])
+    assert geo.nearest(frame("id long, lat double, lon double", [(1, 0.0, 0.0)]), none, "id", "site").count() == 0
