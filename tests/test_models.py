@@ -149,8 +149,11 @@ def test_adf_lag_by_aic(series):
 
 def test_adf_published_points(series):
     # The 5 % critical value of a long sample has a p-value of 5 %.
-    assert timeseries._adf_p_value(-2.86154) == pytest.approx(0.05, abs=1e-3)
-    assert timeseries._adf_p_value(-3.43035) == pytest.approx(0.01, abs=1e-3)
+    taus = (-2.86154, -3.43035, 0.5, 3.0, -20.0)
+    p = series.limit(1).select(*[timeseries.adf_p_value(F.lit(t)).alias(f"p{i}") for i, t in enumerate(taus)]).collect()[0]
+    assert p["p0"] == pytest.approx(0.05, abs=1e-3)
+    assert p["p1"] == pytest.approx(0.01, abs=1e-3)
+    assert 0.9 < p["p2"] < 1 and p["p3"] == 1.0 and p["p4"] == 0.0
 
 
 def test_forecast_equals_the_loop(series, frame):

@@ -7,16 +7,11 @@ partitioned by series and therefore hold at most one row per period.
 from __future__ import annotations
 
 import math
-import sys
 
-import numpy as np
-import pandas as pd
-from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# The small solver below travels with the task: executors need no copy of this package.
-register_pickle_by_value(sys.modules[__name__])
+from waybill.functions import normal_cdf
 
 _PERIOD_MONTHS = {"month": 1, "quarter": 3, "year": 12}
 
@@ -221,59 +216,90 @@ _SMALL_P = (2.1659, 1.4412, 0.038269)
 _LARGE_P = (1.7339, 0.93202, -0.12745, -0.010368)
 
 
-def _adf_p_value(tau: float) -> float:
-    if tau > _TAU_MAX:
-        return 1.0
-    if tau < _TAU_MIN:
-        return 0.0
-    poly = _SMALL_P if tau <= _TAU_STAR else _LARGE_P
-    z = sum(c * tau**i for i, c in enumerate(poly))
-    return 0.5 * math.erfc(-z / math.sqrt(2.0))
+def adf_p_value(tau: Column) -> Column:
+    """P value of the test statistic from the published polynomials."""
 
+    def poly(coefficients: tuple[float, ...]) -> Column:
+        out = F.lit(coefficients[-1])
+        for c in reversed(coefficients[:-1]):
+            out = out * tau + c
+        return out
 
-def _solve(gram: np.ndarray, n: float, lags: int) -> tuple[float, float]:
-    """t statistic of the level term and AIC, from sums of products.
+    z = F.when(tau <= _TAU_STAR, poly(_SMALL_P)).otherwise(poly(_LARGE_P))
+    inside = F.when(tau > _TAU_MAX, 1.0).when(tau < _TAU_MIN, 0.0).otherwise(normal_cdf(z))
+    return F.when(tau.isNotNull(), inside)
 
-    Order of the columns: difference, level, constant, lagged differences.
+
+def _swept(matrix: Column, width: int, k: int) -> Column:
+    """``matrix`` (rows one after the other) after solving for column ``k``.
+
+    Of a matrix of sums of products whose first column is the target, the columns solved for then hold
+    coefficients in the first row and minus the inverse among themselves, and the first element is the sum
+    of squared residuals. A column that is a combination of earlier ones, or 0, is left as it is.
+    """
+
+    def entry(cell: Column, m: Column) -> Column:
+        i, j = F.floor(cell / width).cast("int"), F.pmod(cell, F.lit(width)).cast("int")
+        pivot = F.get(m, F.lit(k * width + k))
+        here, row, column = F.get(m, cell), F.get(m, i * width + k), F.get(m, k * width + j)
+        solved = (
+            F.when((i == k) & (j == k), -1 / pivot)
+            .when((i == k) | (j == k), here / pivot)
+            .otherwise(here - row * column / pivot)
+        )
+        return F.when(pivot > 1e-12, solved).otherwise(here)
+
+    cells = F.sequence(F.lit(0), F.lit(width * width - 1))
+    return F.flatten(F.transform(F.array(matrix), lambda m: F.transform(cells, lambda cell: entry(cell, m))))
+
+
+def _solved(sums: DataFrame, width: int) -> DataFrame:
+    """Add ``_rss`` and ``_tau`` by lag: residual sum of squares and t statistic of the level term.
+
+    Columns are scaled to length 1 first, so that one bound tells a dependent column.
     """
-    k = lags + 2
-    xx, xy, yy = gram[1 : k + 1, 1 : k + 1], gram[1 : k + 1, 0], gram[0, 0]
-    if n <= k:
-        return float("nan"), float("inf")
-    scale = np.sqrt(np.diag(xx))
-    if not np.all(scale > 0):
-        return float("nan"), float("inf")
-    inverse = np.linalg.pinv(xx / np.outer(scale, scale), hermitian=True) / np.outer(scale, scale)
-    coef = inverse @ xy
-    ssr = max(float(yy - coef @ xy), 0.0)
-    error = math.sqrt(ssr / (n - k) * inverse[0, 0])
-    aic = n * (math.log(2 * math.pi) + math.log(ssr / n) + 1) + 2 * k if ssr > 0 else float("-inf")
-    return (float(coef[0] / error) if error > 0 else float("nan")), aic
-
-
-def _products(frame: DataFrame, width: int) -> DataFrame:
+    index = {p: n for n, p in enumerate((i, j) for i in range(width) for j in range(i, width))}
+    at = lambda i, j: F.col("gram")[index[min(i, j), max(i, j)]]
+    scale = [F.sqrt(F.when(at(i, i) > 0, at(i, i)).otherwise(1.0)) for i in range(width)]
+    state = sums.withColumns(
+        {"_m": F.array(*[at(i, j) / (scale[i] * scale[j]) for i in range(width) for j in range(width)]), "_yy": at(0, 0)}
+    )
+    rss, tau = [], []
+    for k in range(1, width):
+        state = state.withColumn("_m", _swept(F.col("_m"), width, k))
+        if k >= 2:
+            left = F.greatest(F.get("_m", F.lit(0)), F.lit(0.0))
+            inverse = -F.get("_m", F.lit(width + 1))
+            error = F.sqrt(left / (F.col("n") - k) * inverse)
+            state = state.withColumns(
+                {
+                    f"_rss{k - 2}": left * F.col("_yy"),
+                    f"_tau{k - 2}": F.when((F.col("n") > k) & (inverse > 0) & (error > 0), F.get("_m", F.lit(1)) / error),
+                }
+            )
+            rss.append(f"_rss{k - 2}")
+            tau.append(f"_tau{k - 2}")
+    return state.withColumns({"_rss": F.array(*rss), "_tau": F.array(*tau)}).drop("_m", "_yy", *rss, *tau)
+
+
+def _products(frame: DataFrame, width: int, also: list[str] | None = None) -> DataFrame:
     """Upper triangle of the sums of products of ``_z`` per series, as one array."""
     pairs = [(i, j) for i in range(width) for j in range(i, width)]
     z = F.col("_z")
-    return frame.groupBy("series_id").agg(
+    return frame.groupBy("series_id", *(also or [])).agg(
         F.count(F.lit(1)).alias("n"),
         F.array(*[F.sum(z[i] * z[j]) for i, j in pairs]).alias("gram"),
     )
 
 
-def _matrix(flat, width: int) -> np.ndarray:
-    out = np.zeros((width, width))
-    out[np.triu_indices(width)] = flat
-    return out + np.triu(out, 1).T
-
-
 def adf(series: DataFrame, max_lag: int, select_lag: bool = True) -> DataFrame:
     """Augmented Dickey-Fuller test with intercept, per series.
 
     With ``select_lag`` the number of lagged differences is the one of lowest AIC
     among 0..``max_lag`` on their common sample, and the test is then run on all
-    rows that lag allows; otherwise it is ``max_lag``. Spark reduces each series
-    to its sums of products; numpy solves one small system per series.
+    rows that lag allows; otherwise it is ``max_lag``. Each series is reduced to
+    its sums of products, and these are solved column by column, which gives all
+    lags in one go. A series too short or too flat has no statistic.
     """
     width = max_lag + 3
     first = F.first("value", ignorenulls=True).over(
@@ -290,18 +316,16 @@ def adf(series: DataFrame, max_lag: int, select_lag: bool = True) -> DataFrame:
     full = F.forall("_z", lambda v: v.isNotNull())
 
     if select_lag:
-
-        @F.pandas_udf("int")
-        def best_lag(gram: pd.Series, n: pd.Series) -> pd.Series:
-            def one(flat, count):
-                m = _matrix(flat, width)
-                return int(np.argmin([_solve(m, count, p)[1] for p in range(max_lag + 1)]))
-
-            return pd.Series([one(g, c) for g, c in zip(gram, n)])
-
-        chosen = _products(rows.where(full), width).select(
-            "series_id", best_lag("gram", "n").alias("lags")
+        n = F.col("n").cast("double")
+        size = lambda p: F.lit(2.0) * (p + 2)
+        aic = F.transform(
+            "_rss",
+            lambda rss, p: F.when(n <= p + 2, float("inf"))
+            .when(rss > 0, n * (math.log(2 * math.pi) + F.ln(rss / n) + 1) + size(p))
+            .otherwise(float("-inf")),
         )
+        lowest = _solved(_products(rows.where(full), width), width).select("series_id", aic.alias("_aic"))
+        chosen = lowest.select("series_id", (F.array_position("_aic", F.array_min("_aic")) - 1).cast("int").alias("lags"))
         rows = rows.join(chosen, "series_id")
     else:
         rows = rows.withColumn("lags", F.lit(max_lag))
@@ -309,18 +333,10 @@ def adf(series: DataFrame, max_lag: int, select_lag: bool = True) -> DataFrame:
     used = F.transform(
         "_z", lambda v, i: F.when(i <= F.col("lags") + 2, v).otherwise(F.lit(0.0))
     )
-    sums = _products(
-        rows.withColumn("_z", used).where(full), width
-    ).join(rows.select("series_id", "lags").distinct(), "series_id")
-
-    @F.pandas_udf("statistic double, p_value double")
-    def test(gram: pd.Series, n: pd.Series, lags: pd.Series) -> pd.DataFrame:
-        taus = [_solve(_matrix(g, width), c, int(p))[0] for g, c, p in zip(gram, n, lags)]
-        return pd.DataFrame(
-            {"statistic": taus, "p_value": [_adf_p_value(v) if v == v else None for v in taus]}
-        )
-
-    out = sums.withColumn("_t", test("gram", "n", "lags"))
+    used_rows = rows.withColumn("_z", used).where(full)
+    sums = _products(used_rows, width, ["lags"])
+    tau = F.get("_tau", F.col("lags"))
+    out = _solved(sums, width).withColumn("_t", F.struct(tau.alias("statistic"), adf_p_value(tau).alias("p_value")))
     n = F.col("n").cast("double")
     return out.select(
         "series_id",
