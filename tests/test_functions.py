@@ -128,6 +128,27 @@ def test_tails(spark):
     assert got[3] == pytest.approx(0.05)
 
 
+@pytest.mark.parametrize("a", [0.5, 1.0, 3.5, 40.0, 500.0])
+def test_incomplete_gamma(spark, a):
+    """Far below, around and far above the turning point, against sums of the closed forms."""
+    for x in (a / 50, a * 0.9, a + 0.5, a + 1.5, a * 2 + 3):
+        got, log_gamma = _one(spark, fn.upper_gamma(F.lit(a), F.lit(x)), fn.log_gamma(F.lit(a)))
+        if a % 1:
+            want = math.erfc(math.sqrt(x))
+            start = 0.5
+        else:
+            want, start = 0.0, 0.0
+        want += sum(math.exp(k * math.log(x) - x - math.lgamma(k + 1)) for k in [start + j for j in range(int(a - start))])
+        assert got == pytest.approx(want, rel=1e-9, abs=1e-14)
+        assert log_gamma == pytest.approx(math.lgamma(a), rel=1e-12, abs=1e-12)
+
+
+def test_tails_of_nothing(spark):
+    none = F.lit(None).cast("double")
+    got = _one(spark, fn.upper_gamma(none, F.lit(1.0)), fn.upper_gamma(F.lit(2.0), none), fn.normal_two_sided(none), fn.normal_cdf(F.lit(0.0)))
+    assert got == (None, None, None, 0.5)
+
+
 def test_haversine(spark):
     quarter = fn.haversine(F.lit(0.0), F.lit(0.0), F.lit(0.0), F.lit(90.0))
     poles = fn.haversine(F.lit(90.0), F.lit(0.0), F.lit(-90.0), F.lit(0.0))

@@ -1,6 +1,7 @@
 """Regressions and series against numpy."""
 
 import datetime as dt
+import math
 import random
 
 import numpy as np
@@ -221,3 +222,18 @@ def test_log_returns_compound(frame):
     got = attribution.log_returns(df, ["k"], "m", "v").collect()[0]
     assert got.total_log_return == pytest.approx(np.log(0.99))
     assert got.compounded_return == pytest.approx(-0.01)
+
+
+def test_logit_reports_separation(frame):
+    """x separates y: the fit says so; overlapping data converge."""
+    apart = frame("y int, x double", [(int(i >= 10), float(i)) for i in range(20)])
+    got = regression.logit_fit(apart, "y", ["x"]).collect()
+    assert all(r.separated and not r.converged for r in got)
+    mixed = frame("y int, x double", [(int(i % 3 == 0 or i > 14), float(i)) for i in range(20)])
+    got = {r.term: r for r in regression.logit_fit(mixed, "y", ["x"]).collect()}
+    assert all(r.converged and not r.separated for r in got.values())
+    x = got["x"]
+    assert x.odds_low < x.odds_ratio < x.odds_high
+    assert x.odds_ratio == pytest.approx(math.exp(x.coefficient))
+    few = regression.logit_fit(mixed, "y", ["x"], max_iterations=1).collect()
+    assert not any(r.converged for r in few)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from waybill.catalog.registry import publish, query, r
+from waybill.catalog.registry import publish, query, r, two_sided_sql
 from waybill.operators import regression
 from waybill.operators.regression import Design
 
@@ -209,6 +209,27 @@ def logistic_scores(t):
     )
 
 
-@query()
+@query(f"""
+WITH RECURSIVE c AS (
+  SELECT CASE WHEN l_linestatus = 'O' THEN 1.0::DOUBLE ELSE 0 END AS o, CASE WHEN l_quantity > 25 THEN 1.0::DOUBLE ELSE 0 END AS b,
+         CAST(count(*) AS DOUBLE) AS n, CAST(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS DOUBLE) AS k FROM lineitem GROUP BY 1, 2),
+it AS (
+  SELECT 0 AS i, 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2, 0.0::DOUBLE AS v0, 0.0::DOUBLE AS v1, 0.0::DOUBLE AS v2
+  UNION ALL
+  SELECT i + 1, b0 + (c00 * g0 + c01 * g1 + c02 * g2) / det, b1 + (c01 * g0 + c11 * g1 + c12 * g2) / det,
+         b2 + (c02 * g0 + c12 * g1 + c22 * g2) / det, c00 / det, c11 / det, c22 / det
+  FROM (SELECT *, h11 * h22 - h12 * h12 AS c00, h02 * h12 - h01 * h22 AS c01, h01 * h12 - h02 * h11 AS c02, h00 * h22 - h02 * h02 AS c11,
+               h01 * h02 - h00 * h12 AS c12, h00 * h11 - h01 * h01 AS c22,
+               h00 * (h11 * h22 - h12 * h12) - h01 * (h01 * h22 - h12 * h02) + h02 * (h01 * h12 - h11 * h02) AS det
+        FROM (SELECT i, b0, b1, b2, sum(k - n * p) AS g0, sum((k - n * p) * o) AS g1, sum((k - n * p) * b) AS g2, sum(n * p * (1 - p)) AS h00,
+                     sum(n * p * (1 - p) * o) AS h01, sum(n * p * (1 - p) * b) AS h02, sum(n * p * (1 - p) * o) AS h11,
+                     sum(n * p * (1 - p) * o * b) AS h12, sum(n * p * (1 - p) * b) AS h22
+              FROM (SELECT *, 1 / (1 + exp(-(b0 + b1 * o + b2 * b))) AS p FROM it, c WHERE i < 20) GROUP BY i, b0, b1, b2))),
+e AS (SELECT unnest(['intercept', 'is_open', 'bulky']) AS term, unnest([b0, b1, b2]) AS a, unnest([sqrt(v0), sqrt(v1), sqrt(v2)]) AS s FROM it WHERE i = 20)
+SELECT term, {r("a")} AS coefficient, {r("s")} AS std_error, {r("a / s", 4)} AS statistic, {r(two_sided_sql("a / s"))} AS p_value,
+       {r("exp(a)")} AS odds_ratio, {r("exp(a - 1.959963984540054 * s)")} AS odds_low, {r("exp(a + 1.959963984540054 * s)")} AS odds_high,
+       true AS converged, false AS separated FROM e
+""")
 def logit_two_factors(t):
-    return publish(regression.logit_fit(_binary(t), "returned", ["is_open", "bulky"]))
+    fit = regression.logit_fit(_binary(t), "returned", ["is_open", "bulky"])
+    return publish(fit.drop("iterations"), statistic=4)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from waybill.catalog import views as v
-from waybill.catalog.registry import publish, query, r
+from waybill.catalog.registry import publish, query, r, two_sided_sql
 from waybill.operators import bayes, simpson
 
 
@@ -139,11 +139,11 @@ def odds_table(t):
 @query(f"""
 WITH {_CELLS_SQL}
 SELECT l_linenumber, {_ABCD}, {r("ln((a / b) / (c / d))")} AS log_odds_ratio,
-       {r("sqrt(1.0 / a + 1.0 / b + 1.0 / c + 1.0 / d)")} AS std_error,
-       {r("ln((a / b) / (c / d)) / sqrt(1.0 / a + 1.0 / b + 1.0 / c + 1.0 / d)")} AS z FROM cells
+       {r("sqrt(1.0 / a + 1.0 / b + 1.0 / c + 1.0 / d)")} AS std_error, {r("z")} AS z, {r(two_sided_sql("z"))} AS p_value
+FROM (SELECT *, ln((a / b) / (c / d)) / sqrt(1.0 / a + 1.0 / b + 1.0 / c + 1.0 / d) AS z FROM cells)
 """)
 def wald_log_or(t):
-    return publish(bayes.wald_log_odds_ratio(_cells(t)).drop("p_value"))
+    return publish(bayes.wald_log_odds_ratio(_cells(t)))
 
 
 @query(f"""

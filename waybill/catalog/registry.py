@@ -47,6 +47,17 @@ def publish(df: DataFrame, digits: int = 6, **special: int) -> DataFrame:
     return df.selectExpr(*out)
 
 
+def upper_gamma_sql(a: str, x: str) -> str:
+    """SQL text for Q(a, x): one less the power series of the lower incomplete gamma function."""
+    series = f"list_sum(list_transform(range(0, 2500), lambda i: exp((i + {a}) * ln({x}) - {x} - lgamma(i + {a} + 1))))"
+    return f"(CASE WHEN {x} <= 0 THEN 1.0 WHEN {x} > 600 THEN 0.0 ELSE greatest(0.0, 1 - {series}) END)"
+
+
+def two_sided_sql(z: str) -> str:
+    """SQL text for P(|Z| > |z|) of the standard normal."""
+    return upper_gamma_sql("0.5", f"(({z}) * ({z}) / 2)")
+
+
 def r(expression: str, digits: int = 6) -> str:
     """SQL text for a rounded double without negative zero."""
     return f"(round(CAST({expression} AS DOUBLE), {digits}) + 0.0)"

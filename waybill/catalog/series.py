@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from waybill.catalog import views as v
-from waybill.catalog.registry import publish, query, r
+from waybill.catalog.registry import publish, query, r, two_sided_sql
 from waybill.operators import attribution, frames, geo, timeseries
 
 
@@ -155,17 +155,25 @@ def backtest_refit(t):
     )
 
 
+# The p-value polynomials of the unit-root test at tau, and the normal tail below their value.
+_ADF_Z = """(CASE WHEN tau <= -1.61 THEN 2.1659 + 1.4412 * tau + 0.038269 * tau * tau
+  ELSE 1.7339 + 0.93202 * tau - 0.12745 * tau * tau - 0.010368 * tau * tau * tau END)"""
+_ADF_P = f"""(CASE WHEN tau > 2.74 THEN 1.0 WHEN tau < -18.83 THEN 0.0
+  WHEN {_ADF_Z} < 0 THEN {two_sided_sql(_ADF_Z)} / 2 ELSE 1 - {two_sided_sql(_ADF_Z)} / 2 END)"""
+
+
 @query(f"""
 WITH {_SERIES_SQL},
 g AS (SELECT series_id, count(*) AS n, regr_slope(diff, before) AS b, regr_sxx(diff, before) AS sxx, regr_syy(diff, before) AS syy,
              regr_sxy(diff, before) AS sxy FROM steps WHERE diff IS NOT NULL GROUP BY 1)
-SELECT series_id, {r("b / sqrt((syy - b * sxy) / (n - 2) / sxx)")} AS statistic, 0 AS lags, n,
+SELECT series_id, {r("tau")} AS statistic, {r(_ADF_P)} AS p_value, 0 AS lags, n,
        {r("-3.43035 - 6.5393 / n - 16.786 / (n * n) - 79.433 / (n * n * n)")} AS critical_1pct,
        {r("-2.86154 - 2.8903 / n - 4.234 / (n * n) - 40.04 / (n * n * n)")} AS critical_5pct,
-       {r("-2.56677 - 1.5384 / n - 2.809 / (n * n)")} AS critical_10pct FROM g
+       {r("-2.56677 - 1.5384 / n - 2.809 / (n * n)")} AS critical_10pct
+FROM (SELECT *, b / sqrt((syy - b * sxy) / (n - 2) / sxx) AS tau FROM g)
 """)
 def adf_stat(t):
-    return publish(timeseries.adf(_series(t), 0, select_lag=False).drop("p_value"))
+    return publish(timeseries.adf(_series(t), 0, select_lag=False))
 
 
 @query(f"""
@@ -183,7 +191,40 @@ def adf_one_lag(t):
     return publish(test.select("series_id", "statistic", "lags", "n"))
 
 
-@query()
+def _swept_sql(source: str, name: str) -> str:
+    """The 7 x 7 sums of products of ``source`` (series_id, z), swept column by column."""
+    return f"""
+{name}_c AS (SELECT series_id, i, j, sum(z[i + 1] * z[j + 1]) AS v, count(*) AS n
+  FROM {source}, range(7) AS a(i), range(7) AS b(j) GROUP BY ALL),
+{name}_m AS (SELECT series_id, max(n) AS n, list(v ORDER BY i, j) AS m FROM {name}_c GROUP BY 1),
+{name} AS (
+  SELECT series_id, n, 0 AS k, m FROM {name}_m
+  UNION ALL
+  SELECT series_id, n, k + 1, CASE WHEN m[(k + 1) * 8 + 1] > 1e-12 THEN list_transform(range(49), lambda c:
+    CASE WHEN c // 7 = k + 1 AND c % 7 = k + 1 THEN -1 / m[(k + 1) * 8 + 1]
+         WHEN c // 7 = k + 1 OR c % 7 = k + 1 THEN m[c + 1] / m[(k + 1) * 8 + 1]
+         ELSE m[c + 1] - m[(c // 7) * 7 + k + 2] * m[(k + 1) * 7 + c % 7 + 1] / m[(k + 1) * 8 + 1] END) ELSE m END
+  FROM {name} WHERE k < 6)"""
+
+
+@query(f"""
+WITH RECURSIVE {_SERIES_SQL},
+s AS (SELECT series_id, ts, diff, before - first_value(value) OVER w AS lev, lag(diff, 1) OVER w AS d1, lag(diff, 2) OVER w AS d2,
+             lag(diff, 3) OVER w AS d3, lag(diff, 4) OVER w AS d4 FROM steps WINDOW w AS (PARTITION BY series_id ORDER BY ts)),
+common AS (SELECT series_id, [diff, lev, 1, d1, d2, d3, d4] AS z FROM s WHERE d4 IS NOT NULL),
+{_swept_sql("common", "f")},
+aic AS (SELECT series_id, k - 2 AS lags, n * (ln(2 * pi()) + ln(m[1] / n) + 1) + 2 * k AS aic FROM f WHERE k >= 2),
+best AS (SELECT series_id, lags FROM aic QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY aic, lags) = 1),
+own AS (SELECT series_id, [diff, lev, 1, CASE WHEN lags > 0 THEN d1 ELSE 0 END, CASE WHEN lags > 1 THEN d2 ELSE 0 END,
+               CASE WHEN lags > 2 THEN d3 ELSE 0 END, CASE WHEN lags > 3 THEN d4 ELSE 0 END] AS z
+        FROM s JOIN best USING (series_id) WHERE diff IS NOT NULL AND [diff, d1, d2, d3, d4][lags + 1] IS NOT NULL),
+{_swept_sql("own", "h")},
+t AS (SELECT series_id, lags, n, m[2] / sqrt(m[1] / (n - k) * -m[9]) AS tau FROM h JOIN best USING (series_id) WHERE k = lags + 2)
+SELECT series_id, {r("tau")} AS statistic, {r(_ADF_P)} AS p_value, CAST(lags AS INTEGER) AS lags, n,
+       {r("-3.43035 - 6.5393 / n - 16.786 / (n * n) - 79.433 / (n * n * n)")} AS critical_1pct,
+       {r("-2.86154 - 2.8903 / n - 4.234 / (n * n) - 40.04 / (n * n * n)")} AS critical_5pct,
+       {r("-2.56677 - 1.5384 / n - 2.809 / (n * n)")} AS critical_10pct FROM t
+""")
 def adf_by_aic(t):
     return publish(timeseries.adf(_series(t), 4))
 

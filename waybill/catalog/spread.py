@@ -221,7 +221,18 @@ def claims_likelihood(t):
     return publish(out.select("l_linenumber", "n", "k", "rate", "log_likelihood"), log_likelihood=4)
 
 
-@query()
+_H60 = "CAST('0x' || substr(md5({}), 1, 15) AS BIGINT)"
+
+
+@query(f"""
+WITH x AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag = 'R' AS hit,
+    {_H60.format("concat_ws(':', '11', l_orderkey, l_linenumber, l_partkey, l_suppkey)")} AS h FROM lineitem),
+s AS (SELECT i AS replicate, {_H60.format("concat_ws(':', '11', 'replicate', i)")} AS s FROM range(1, 101) AS g(i)),
+o AS (SELECT replicate, hit, row_number() OVER (PARTITION BY replicate ORDER BY xor(h, s), l_orderkey, l_linenumber, l_partkey, l_suppkey) AS place
+      FROM x, s)
+SELECT CAST(replicate AS INTEGER) AS replicate, count(*) AS drawn, CAST(sum(CASE WHEN hit THEN 1 ELSE 0 END) AS BIGINT) AS successes
+FROM o WHERE place <= 30 GROUP BY 1
+""")
 def sampling_distribution(t):
     return distributions.sampling_distribution(
         t.lineitem,

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from waybill import functions as fn
 from waybill.catalog import views as v
-from waybill.catalog.registry import publish, query, r
+from waybill.catalog.registry import publish, query, r, upper_gamma_sql
 from waybill.operators import contingency, frames, quality
 from waybill.sources import (
     calendar_spanning,
@@ -426,12 +426,12 @@ def chi2_mode_tradelane(t):
 @query(f"""
 WITH cells AS (SELECT quality, toxic, count(*) AS n FROM labels GROUP BY 1, 2),
 e AS (SELECT *, CAST(sum(n) OVER (PARTITION BY quality) AS DOUBLE) * sum(n) OVER (PARTITION BY toxic) / sum(n) OVER () AS ex FROM cells)
-SELECT {r("sum(power(abs(n - ex) - least(0.5, abs(n - ex)), 2) / ex)")} AS chi2,
-       CAST(1 AS BIGINT) AS dof, CAST(sum(n) AS BIGINT) AS n FROM e
+SELECT {r("chi2")} AS chi2, CAST(1 AS BIGINT) AS dof, n, {r(upper_gamma_sql("0.5", "(chi2 / 2)"))} AS p_value
+FROM (SELECT sum(power(abs(n - ex) - least(0.5, abs(n - ex)), 2) / ex) AS chi2, CAST(sum(n) AS BIGINT) AS n FROM e)
 """)
 def chi2_yates(t):
     test = contingency.chi2_independence(t.labels, "quality", "toxic", yates=True)
-    return publish(test.drop("p_value"))
+    return publish(test)
 
 
 @query(f"""

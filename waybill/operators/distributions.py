@@ -268,44 +268,50 @@ def running_proportion(
     return summed.withColumn("proportion", safe_ratio("_hits", "trials")).drop("_hits")
 
 
+#: Bits of the hash that orders rows, and of its prefixes that are counted.
+_HASH_BITS, _PREFIX_BITS = 60, 20
+
+
+def _hash(*parts: Column) -> Column:
+    """The first 60 bits of the MD5 of the parts joined by colons."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", *parts)), 1, _HASH_BITS // 4), 16, 10).cast("long")
+
+
 def sampling_distribution(
     df: DataFrame, keys: Sequence[str], flag: Column, n: int, replicates: int, seed: int = 0
 ) -> DataFrame:
-    """Successes in each of ``replicates`` seeded samples of ``n`` rows without replacement.
+    """Successes in each of ``replicates`` seeded samples of exactly ``n`` rows without replacement.
 
-    Every row enters every replicate with the same small probability, decided by
-    hashes of (keys, seed); of the rows that entered, the ``n`` with the smallest
-    hash are kept. The probability leaves twelve standard deviations of room, so
-    a short sample does not occur in practice and would show in ``drawn``.
+    Every row has one hash of (seed, keys), every replicate one of (seed, its number); a replicate
+    consists of the ``n`` rows whose hash differs least from its own (as numbers, after an exclusive or),
+    ties by the keys. So each replicate is a uniform sample, and each row is hashed once. Rows with equal
+    leading bits are counted; from these counts follows, for each replicate, the longest prefix that at
+    least ``n`` rows share with it, and only these rows are ranked. A table of fewer rows is drawn whole.
 
-    The first replicate a row enters follows from one hash (the gap between
-    entries is geometric); nearly all rows enter none and stop there.
+    ``keys`` identify a row.
     """
-    total = df.agg(F.count(F.lit(1))).scalar()
-    share = F.least(F.lit(1.0), F.lit(n + 12 * math.sqrt(n) + 144) / total)
-
-    def uniform(*parts: Column) -> Column:
-        h = F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(seed), *parts), F.lit(1 << 52))
-        return (h + 0.5) / float(1 << 52)
-
-    gap = F.ceil(F.ln(uniform(F.lit("first"))) / F.ln(1 - F.col("_share")))
-    entered = (
-        df.select(*keys, flag.cast("int").alias("_hit"))
-        .withColumn("_share", share)
-        .withColumn("_first", F.when(F.col("_share") >= 1, 1).otherwise(gap))
-        .where(F.col("_first") <= replicates)
-        .withColumn("_first", F.col("_first").cast("int"))
-    )
-    later = F.filter(
-        F.sequence(F.lit(1), F.lit(replicates)),
-        lambda i: (i == F.col("_first"))
-        | ((i > F.col("_first")) & (uniform(F.lit("later"), i) < F.col("_share"))),
-    )
-    picks = entered.withColumn("replicate", F.explode(later)).withColumn(
-        "_u", uniform(F.lit("order"), F.col("replicate"))
+    own = _hash(F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+    rows = df.select(*keys, F.coalesce(flag, F.lit(False)).cast("int").alias("_hit"), own.alias("_h"))
+    spark = df.sparkSession
+    drawn = spark.range(1, replicates + 1).select(
+        F.col("id").cast("int").alias("replicate"), _hash(F.lit(str(seed)), F.lit("replicate"), F.col("id").cast("string")).alias("_s")
     )
-    w = Window.partitionBy("replicate").orderBy("_u", *keys)
-    sample = picks.withColumn("_place", F.row_number().over(w)).where(F.col("_place") <= n)
+    cut = lambda c, bits: F.call_function("shiftright", F.col(c), bits.cast("int"))
+    prefix = lambda c, bits: cut(c, F.lit(_HASH_BITS) - bits)
+    depths = F.sequence(F.lit(0), F.lit(_PREFIX_BITS))
+    counts = rows.groupBy(prefix("_h", F.lit(_PREFIX_BITS)).alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.withColumn("_bits", F.explode(depths)).groupBy(
+        "_bits", cut("_p", F.lit(_PREFIX_BITS) - F.col("_bits")).alias("_p")
+    ).agg(F.sum("_n").alias("_n"))
+    asked = drawn.withColumn("_bits", F.explode(depths)).withColumn("_p", prefix("_s", F.col("_bits")))
+    enough = (F.col("_n") >= n) | (F.col("_bits") == 0)
+    chosen = asked.join(counts, ["_bits", "_p"]).where(enough).groupBy("replicate", "_s").agg(F.max("_bits").alias("_bits"))
+    chosen = staged(chosen.withColumn("_p", prefix("_s", F.col("_bits"))))
+    used = F.array(*[F.lit(r["_bits"]) for r in chosen.select("_bits").distinct().collect()] or [F.lit(0)])
+    near = rows.withColumn("_bits", F.explode(used)).withColumn("_p", prefix("_h", F.col("_bits")))
+    near = near.join(F.broadcast(chosen), ["_bits", "_p"]).withColumn("_far", F.col("_h").bitwiseXOR(F.col("_s")))
+    w = Window.partitionBy("replicate").orderBy("_far", *keys)
+    sample = near.withColumn("_place", F.row_number().over(w)).where(F.col("_place") <= n)
     return sample.groupBy("replicate").agg(
         F.count(F.lit(1)).alias("drawn"), F.sum("_hit").alias("successes")
     )

@@ -6,6 +6,7 @@ k x k normal equations and the coefficients reach the driver.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from itertools import combinations
@@ -21,6 +22,12 @@ from waybill.operators.frames import dummies, levels_of
 from waybill.sources import from_rows
 
 _COEFFICIENTS = "term string, coefficient double, std_error double, statistic double, p_value double"
+_LOGIT = (
+    f"{_COEFFICIENTS}, odds_ratio double, odds_low double, odds_high double, "
+    "iterations int, converged boolean, separated boolean"
+)
+# A fitted probability nearer to 0 or 1 than this is taken for a separated outcome.
+SEPARATED = 1e-6
 _QUALITY = "n long, r2 double, adjusted_r2 double, mse double"
 
 
@@ -155,8 +162,22 @@ def compare_models(fits: Mapping[str, OlsFit]) -> DataFrame:
     return out
 
 
-def logit_fit(df: DataFrame, y: str, xs: Sequence[str], pre_aggregate: bool = True) -> DataFrame:
-    """Logistic regression: coefficients, standard errors, z and p.
+# Fixed value: the 97.5 % point of the standard normal.
+Z95 = 1.959963984540054
+
+
+def _bounded_exp(x: float) -> float:
+    return math.exp(x) if x < 709 else math.inf
+
+
+def logit_fit(
+    df: DataFrame, y: str, xs: Sequence[str], pre_aggregate: bool = True, max_iterations: int = 50
+) -> DataFrame:
+    """Logistic regression: coefficients, standard errors, z and p, odds ratios with 95 % bounds.
+
+    ``converged`` tells whether the iterations ended before their limit; ``separated`` whether some
+    regressors predict an outcome with certainty, in which case coefficients grow with every iteration and
+    neither they nor their errors mean anything.
 
     With ``pre_aggregate`` rows with equal regressors become one row with their
     share of successes and their number as weight. The likelihood is the same, and
@@ -179,21 +200,28 @@ def logit_fit(df: DataFrame, y: str, xs: Sequence[str], pre_aggregate: bool = Tr
             featuresCol="_features",
             labelCol=y,
             weightCol="_w",
-            maxIter=50,
+            maxIter=max_iterations,
             tol=1e-10,
+            linkPredictionCol="_eta",
         ).fit(data)
         s = model.summary
+        furthest = model.transform(data).agg(F.max(F.abs("_eta"))).first()[0]
+        separated = furthest is None or not furthest < math.log(1 / SEPARATED)
         names = [*xs, "intercept"]
         values = [*[float(v) for v in model.coefficients], float(model.intercept)]
         rows = [
-            (name, float(a), float(b), float(t), float(p))
+            (
+                *(name, float(a), float(b), float(t), float(p)),
+                *(_bounded_exp(float(a) + side * Z95 * float(b)) for side in (0, -1, 1)),
+                *(int(s.numIterations), s.numIterations < max_iterations and not separated, separated),
+            )
             for name, a, b, t, p in zip(
                 names, values, s.coefficientStandardErrors, s.tValues, s.pValues
             )
         ]
     finally:
         data.unpersist()
-    return from_rows(df.sparkSession, rows, _COEFFICIENTS)
+    return from_rows(df.sparkSession, rows, _LOGIT)
 
 
 def logistic_scores(df: DataFrame, y: str, xs: Sequence[str]) -> DataFrame:
