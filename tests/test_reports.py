@@ -377,3 +377,62 @@ def test_lifetimes(frame, rows):
         (1, 2, True, dt.date(2015, 1, 20)),
         (2, 0, False, None),
     ]
+
+
+def test_transit_interval_by_freight_type(spark):
+    day = lambda n: dt.datetime(2020, 1, n)
+    schema = "id int, freight_type string, " + ", ".join(
+        f"{c} timestamp_ntz"
+        for c in (
+            "actual_origin_departed_at",
+            "actual_departure_port_departed_at",
+            "actual_arrival_port_arrived_at",
+            "actual_first_delivered_at",
+            "actual_in_full_delivered_at",
+        )
+    )
+    stops = (day(1), day(2), day(3), day(4), day(5))
+    data = [(i, kind, *stops) for i, kind in enumerate(exposure.TRANSIT)]
+    data += [
+        (4, "Door to Door", day(1), None, day(3), day(4), None),
+        (5, "Door to Door", day(1), None, day(3), None, None),
+        (6, "Port to Port", day(1), day(2), None, day(4), day(5)),
+        (7, None, *stops),
+        (8, "Port to Door", day(1), None, day(3), day(4), day(5)),
+    ]
+    got = {r.id: (r.start_at, r.end_at) for r in exposure.transit_interval(spark.createDataFrame(data, schema)).collect()}
+    assert got == {
+        0: (day(1), day(5)),
+        1: (day(1), day(3)),
+        2: (day(2), day(5)),
+        3: (day(2), day(3)),
+        4: (day(1), day(4)),
+        5: (day(1), day(3)),
+        6: (day(2), day(4)),
+        7: (None, day(4)),
+        8: (None, day(5)),
+    }
+
+
+def test_financed_shipments(frame, rows):
+    df = frame(
+        "shipment_id int, invoice_type string, invoiceable_type string, deleted_at date, voided_at date, capital_amount double",
+        [
+            (1, "Invoice", "Shipment", None, None, 5.0),
+            (1, "Invoice", "Shipment", None, None, 7.0),
+            (2, "Invoice", "Shipment", None, None, 0.0),
+            (3, "Bill", "Shipment", None, None, 5.0),
+            (4, "Invoice", "Booking", None, None, 5.0),
+            (5, "Invoice", "Shipment", dt.date(2020, 1, 1), None, 5.0),
+            (6, "Invoice", "Shipment", None, dt.date(2020, 1, 1), 5.0),
+            (7, "Invoice", "Shipment", None, None, None),
+        ],
+    )
+    assert rows(exposure.financed(df)) == [(1,)]
+
+
+def test_changes_per_key(frame):
+    df = frame("leg_id string, audit_id int", [("a", 1), ("a", 2), ("b", 3), ("c", 4), ("d", 5), ("d", 6), ("e", 7), (None, 8)])
+    got = [tuple(r) for r in changes.changes_per_key(df).collect()]
+    assert got == [(1, 3, 0.6), (2, 2, 0.4)]
+    assert [tuple(r) for r in changes.changes_per_key(df, top=1).collect()] == [(1, 3, 0.6)]

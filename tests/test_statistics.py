@@ -343,3 +343,43 @@ def test_nearest_by_boxes_equals_all_distances(spark):
 def test_nearest_without_sites(frame):
     none = frame("site string, lat double, lon double", [])
     assert geo.nearest(frame("id long, lat double, lon double", [(1, 0.0, 0.0)]), none, "id", "site").count() == 0
+
+
+def test_sparse_chi2_equals_the_full_grid(spark):
+    """Many levels, few observed cells: no grid is needed for the statistic."""
+    rng = random.Random(12)
+    pairs = [(f"a{rng.randrange(60)}", f"b{rng.randrange(50)}") for _ in range(700)]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    got = contingency.chi2_independence(df, "a", "b").collect()[0]
+    full = contingency.expected(df, "a", "b").collect()
+    want = sum(r.residual**2 / r.expected for r in full)
+    assert got.chi2 == pytest.approx(want, rel=1e-9)
+    assert got.n == 700 and got.dof == (len({a for a, _ in pairs}) - 1) * (len({b for _, b in pairs}) - 1)
+    assert len(full) == len({a for a, _ in pairs}) * len({b for _, b in pairs})
+
+
+def test_grid_in_blocks_of_levels(spark, monkeypatch, rows):
+    df = spark.createDataFrame([(f"a{i % 3}", f"b{i % 7}") for i in range(30)], "a string, b string")
+    whole = rows(contingency.crosstab(df, "a", "b"))
+    monkeypatch.setattr(contingency, "LEVEL_BLOCK", 2)
+    assert rows(contingency.crosstab(df, "a", "b")) == whole and len(whole) == 21
+
+
+def test_supports_in_blocks(frame, rows):
+    params = frame("k int, n int, p double", [(1, 60, 0.3), (2, 7, 0.9), (3, 0, 0.5)])
+    keys = ["k"]
+    whole = distributions.binomial(params, keys, "n", "p").orderBy("k", "x").collect()
+    blocks = distributions.binomial(params, keys, "n", "p", block=4).orderBy("k", "x").collect()
+    assert len(whole) == len(blocks) == 61 + 8 + 1
+    for a, b in zip(whole, blocks):
+        assert (a.k, a.x) == (b.k, b.x)
+        assert (a.cdf, a.tail) == (pytest.approx(b.cdf), pytest.approx(b.tail))
+    last = [r for r in blocks if r.k == 1][-1]
+    assert last.cdf == pytest.approx(1.0) and last.tail == pytest.approx(0.3**60, rel=1e-9)
+
+
+def test_category_shares(frame, rows):
+    df = frame("e string, c string", [("x", "usd"), ("x", "eur"), ("y", "usd"), (None, "usd")])
+    assert rows(quality.category_shares(df, ["e", "c"])) == sorted(
+        [("e", "x", 2, 0.5), ("e", "y", 1, 0.25), ("e", None, 1, 0.25), ("c", "usd", 3, 0.75), ("c", "eur", 1, 0.25)], key=repr
+    )

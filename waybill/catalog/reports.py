@@ -337,6 +337,29 @@ def invoice_on_time_rate(t):
     return publish(rate(out, ["year"], F.col("on_time"), "on_time_rate"))
 
 
+@query(f"""
+WITH {_TIMELINESS_SQL.replace("JOIN orders ON o_orderkey = shipment_id", "JOIN lineitem ON l_orderkey = shipment_id").replace("o_orderstatus <> 'P'", "l_linenumber <= 3")},
+once AS (
+  SELECT issued_at AS shared_at FROM invoices JOIN timeline USING (shipment_id)
+  WHERE issued_at >= TIMESTAMP '1996-06-01' AND shipment_id IN (SELECT l_orderkey FROM lineitem WHERE l_linenumber <= 3))
+SELECT s.year, rows_kept, rows_once, {r("on_time_rate")} AS on_time_rate FROM
+  (SELECT year(shared_at) AS year, count(*) AS rows_kept, avg(CASE WHEN share_due_at >= shared_at THEN 1.0 ELSE 0.0 END) AS on_time_rate
+   FROM shared GROUP BY 1) s
+  JOIN (SELECT year(shared_at) AS year, count(*) AS rows_once FROM once GROUP BY 1) o ON s.year = o.year
+""")
+def invoice_fan_out(t):
+    """A shipment that the list names several times repeats its invoices; as an existence check it does not."""
+    first_delivery = v.timeline(t).select("shipment_id", F.col("departed_at").alias("delivered_at"))
+    listed = t.lineitem.where("l_linenumber <= 3").select(F.col("l_orderkey").alias("shipment_id"))
+    args = (v.invoices(t), first_delivery, listed, "1996-06-01")
+    year = F.year("shared_at").alias("year")
+    kept = invoicing.invoice_timeliness(*args).groupBy(year).agg(
+        F.count(F.lit(1)).alias("rows_kept"), F.avg(F.col("on_time").cast("double")).alias("on_time_rate")
+    )
+    once = invoicing.invoice_timeliness(*args, exists_only=True).groupBy(year).agg(F.count(F.lit(1)).alias("rows_once"))
+    return publish(kept.join(once, "year").select("year", "rows_kept", "rows_once", "on_time_rate"))
+
+
 @query(f"""
 WITH {v.INVOICES_SQL}
 SELECT invoice_id, issuing_entity, currency, {r("revenue", 4)} AS revenue
@@ -447,6 +470,35 @@ def daily_exposure(t):
     return publish(_collateral(t))
 
 
+_TRANSIT_SQL = f"""{v.TRANSIT_SQL},
+medians AS (SELECT client_id, median(value) AS mid FROM transit_shipments
+            WHERE keyed_at BETWEEN TIMESTAMP '1999-01-01' AND TIMESTAMP '1999-12-31' GROUP BY 1),
+moved AS (
+  SELECT CASE WHEN freight_type IN ('Door to Door', 'Door to Port') THEN actual_origin_departed_at
+              WHEN freight_type IN ('Port to Door', 'Port to Port') THEN actual_departure_port_departed_at END AS start_at,
+         coalesce(CASE WHEN freight_type IN ('Door to Door', 'Port to Door') THEN actual_in_full_delivered_at
+                       WHEN freight_type IN ('Door to Port', 'Port to Port') THEN actual_arrival_port_arrived_at END,
+                  actual_first_delivered_at, actual_arrival_port_arrived_at) AS end_at,
+         CAST(coalesce(value, mid) AS DECIMAL(28,4)) AS value
+  FROM transit_shipments LEFT JOIN medians USING (client_id)
+  WHERE is_live AND shipment_id IN (SELECT l_orderkey FROM lineitem WHERE l_linenumber < 7 AND l_returnflag <> 'R' AND l_tax > 0.05
+                                    AND l_extendedprice > 0))"""
+
+
+@query(f"""
+WITH {_DAYS_SQL}, {_TRANSIT_SQL}
+SELECT {d("day")} AS date_day, CAST(round(sum(CASE WHEN day BETWEEN start_at AND end_at THEN value ELSE 0 END), 2) AS DOUBLE) AS in_transit_value
+FROM days CROSS JOIN moved GROUP BY day
+""")
+def transit_collateral(t):
+    shipments = v.transit_shipments(t)
+    values = shipments.select("client_id", "value", "keyed_at")
+    days = calendar(t.spark, *_YEAR)
+    return publish(
+        exposure.transit_collateral(shipments, v.invoices(t), values, days, *_YEAR, reference=_YEAR)
+    )
+
+
 @query(f"""
 WITH {_DAYS_SQL}, {_OUTSTANDING_SQL}
 SELECT {d("day")} AS date_day, v AS outstanding_principal FROM outstanding
@@ -540,7 +592,8 @@ kinds AS (
               WHEN source IN ('view', 'purchase') THEN
                 CASE created_by % 4 WHEN 0 THEN 'individual' WHEN 1 THEN 'shared' WHEN 2 THEN 'group' END
          END AS user_kind, lead_hours
-  FROM updates)
+  FROM updates JOIN orders ON o_orderkey = shipment_id
+  WHERE o_orderpriority IN ('1-URGENT', '3-MEDIUM') AND event_type IN ('click', 'view', 'error'))
 SELECT user_kind, count(*) AS updates, {r("avg(lead_hours)")} AS mean_lead_hours
 FROM kinds WHERE user_kind IS NOT NULL AND lead_hours < 0 AND lead_hours > -336 GROUP BY 1
 """)
@@ -555,8 +608,11 @@ def update_speed_by_user_type(t):
             F.when(k == 0, "individual").when(k == 1, "shared").when(k == 2, "group"),
         )
     )
+    joined = v.updates(t).join(v.shipment_modes(t), "shipment_id")
+    modes = F.col("mode").isin("1-URGENT", "3-MEDIUM")
+    actual = F.col("event_type").isin("click", "view", "error")
     return publish(
-        milestones.update_speed(v.updates(t), users, ["error", "click"], ["view", "purchase"])
+        milestones.update_speed(joined, users, ["error", "click"], ["view", "purchase"], keep=modes & actual)
     )
 
 
@@ -603,7 +659,8 @@ def _trail(t):
 @query(f"""
 WITH {v.AUDITS_SQL}
 SELECT audit_id, leg_id, action, shipment_id, {ts("changed_at")} AS changed_at,
-       coalesce({d("change_date")}, 'n/a') AS new_value FROM audits
+       coalesce({d("change_date")}, 'n/a') AS new_value, {ts("quote_submitted_at")} AS quote_submitted_at,
+       {ts("quote_accepted_at")} AS quote_accepted_at FROM audits
 """)
 def change_extract(t):
     return publish(
@@ -619,6 +676,18 @@ def change_extract(t):
     )
 
 
+@query(f"""
+WITH {v.AUDITS_SQL}, n AS (SELECT leg_id, count(*) AS n_changes FROM audits GROUP BY 1)
+SELECT n_changes, count(*) AS keys, {r("count(*) / (SELECT count(*) FROM n)::DOUBLE")} AS share FROM n GROUP BY 1
+ORDER BY keys DESC, n_changes LIMIT 6
+""")
+def changes_per_leg(t):
+    extract = changes.change_extract(
+        v.audits(t), v.audit_legs(t), v.audit_quotes(t), "ready", "2024-01-01", "2024-12-31", ["Leg"]
+    )
+    return publish(changes.changes_per_key(extract, top=6))
+
+
 @query(f"""
 WITH {v.TRAIL_SQL}
 SELECT audit_id, leg_id, {d("change_date")} AS change_date, change_order, {d("change_date_prev")} AS change_date_prev,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from waybill.catalog import views as v
 from waybill.catalog.registry import publish, query, r, two_sided_sql
 from waybill.operators import attribution, frames, geo, timeseries
+from waybill.sources.calendars import quarters
 
 
 def _iso(expression: str) -> str:
@@ -229,6 +230,19 @@ def adf_by_aic(t):
     return publish(timeseries.adf(_series(t), 4))
 
 
+@query("""
+WITH q AS (SELECT CAST(g AS DATE) AS quarter FROM generate_series(TIMESTAMP '1990-01-01', TIMESTAMP '2002-10-01', INTERVAL 3 MONTH) AS s(g)),
+n AS (SELECT CAST(date_trunc('quarter', o_orderdate) AS DATE) AS quarter, count(*) AS orders FROM orders GROUP BY 1)
+SELECT strftime(quarter, '%Y-%m-%d') AS quarter, coalesce(orders, 0) AS orders FROM q LEFT JOIN n USING (quarter)
+""")
+def orders_per_quarter(t):
+    """Orders of every quarter of a range, quarters without orders included."""
+    quarter = F.trunc(F.col("o_orderdate").cast("date"), "quarter").alias("quarter")
+    counted = t.orders.groupBy(quarter).agg(F.count(F.lit(1)).alias("orders"))
+    grid = quarters(t.spark, "1990-01-01", "2002-10-01")
+    return publish(grid.join(counted, "quarter", "left").select("quarter", F.coalesce("orders", F.lit(0)).alias("orders")))
+
+
 # --- attribution -------------------------------------------------------------
 
 

@@ -31,6 +31,19 @@ def category_probability(t):
     return publish(shares.join(shape, "currency"), mean=3, std=3)
 
 
+@query(f"""
+WITH {v.INVOICES_SQL}, k AS (SELECT * FROM invoices WHERE issued_at >= TIMESTAMP '2000-01-01' AND issued_at < TIMESTAMP '2000-07-01')
+SELECT 'issuing_entity' AS column_name, issuing_entity AS value, count(*) AS n, {r("count(*) / (SELECT count(*) FROM k)::DOUBLE")} AS share
+FROM k GROUP BY 2
+UNION ALL SELECT 'currency', currency, count(*), {r("count(*) / (SELECT count(*) FROM k)::DOUBLE")} FROM k GROUP BY 2
+""")
+def entity_and_currency_shares(t):
+    from waybill.plans.invoicing import invoice_details
+
+    details = invoice_details(v.invoices(t), "2000-01-01", "2000-07-01")
+    return publish(quality.category_shares(details, ["issuing_entity", "currency"]))
+
+
 @query(f"""
 WITH c AS (SELECT value AS x, count(*) AS n FROM events GROUP BY 1)
 SELECT {r("x")} AS x, n, {r("n / sum(n) OVER ()", 9)} AS pmf, {r("sum(n) OVER (ORDER BY x) / sum(n) OVER ()", 9)} AS cdf FROM c

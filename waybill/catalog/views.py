@@ -133,6 +133,49 @@ otp_shipments AS (
   JOIN client_regions ON o_custkey = c_custkey)"""
 
 
+# Milestone of a shipment: (first day after the first departure, spread in days, one in how many missing).
+TRANSIT = {
+    "actual_origin_departed_at": (0, 3, 31),
+    "actual_departure_port_departed_at": (2, 4, 37),
+    "actual_arrival_port_arrived_at": (9, 9, 11),
+    "actual_first_delivered_at": (12, 7, 13),
+    "actual_in_full_delivered_at": (14, 20, 5),
+}
+
+
+def transit_shipments(t: Tables) -> DataFrame:
+    """Orders as shipments: freight type, client, value (one in six unknown) and their transit milestones."""
+    labels = ", ".join(f"'{name}'" for name in FREIGHT_TYPES)
+    return t.orders.join(timeline(t), F.col("o_orderkey") == F.col("shipment_id")).selectExpr(
+        "shipment_id",
+        "o_custkey AS client_id",
+        "o_orderstatus <> 'P' AS is_live",
+        f"CASE WHEN o_orderkey % 17 <> 0 THEN element_at(array({labels}), int(o_orderkey % 4) + 1) END AS freight_type",
+        "CASE WHEN o_orderkey % 6 <> 0 THEN o_totalprice END AS value",
+        "o_orderdate AS keyed_at",
+        *[
+            f"CASE WHEN o_orderkey % {missing} <> 0 THEN departed_at + make_dt_interval(int({day} + o_orderkey % {days}), "
+            f"int(o_orderkey % 24)) END AS {name}"
+            for name, (day, days, missing) in TRANSIT.items()
+        ],
+    )
+
+
+_TRANSIT_COLUMNS = ",\n         ".join(
+    f"CASE WHEN o_orderkey % {missing} <> 0 THEN departed_at + to_days(CAST({day} + o_orderkey % {days} AS INTEGER)) "
+    f"+ to_hours(o_orderkey % 24) END AS {name}"
+    for name, (day, days, missing) in TRANSIT.items()
+)
+TRANSIT_SQL = f"""{TIMELINE_SQL},
+transit_shipments AS (
+  SELECT shipment_id, o_custkey AS client_id, o_orderstatus <> 'P' AS is_live,
+         CASE WHEN o_orderkey % 17 <> 0 THEN CASE o_orderkey % 4 WHEN 0 THEN 'Port to Door' WHEN 1 THEN 'Port to Port'
+              WHEN 2 THEN 'Door to Port' ELSE 'Door to Door' END END AS freight_type,
+         CASE WHEN o_orderkey % 6 <> 0 THEN o_totalprice END AS value, o_orderdate AS keyed_at,
+         {_TRANSIT_COLUMNS}
+  FROM orders JOIN timeline ON o_orderkey = shipment_id)"""
+
+
 def quote_lines(t: Tables) -> DataFrame:
     """One quote per order and line number."""
     return t.lineitem.groupBy("l_orderkey", "l_linenumber").agg(
@@ -163,6 +206,7 @@ def invoices(t: Tables) -> DataFrame:
         F.col("l_linestatus").alias("issuing_entity"),
         F.col("l_returnflag").alias("currency"),
         (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue"),
+        F.when(F.col("l_tax") > 0.05, F.col("l_extendedprice")).otherwise(0.0).alias("capital_amount"),
     )
 
 
@@ -230,6 +274,7 @@ def audit_legs(t: Tables) -> DataFrame:
 def audit_quotes(t: Tables) -> DataFrame:
     return t.orders.select(
         F.col("o_orderkey").alias("shipment_id"),
+        (F.col("o_orderdate") - F.make_dt_interval((F.col("o_orderkey") % 9).cast("int"))).alias("quote_submitted_at"),
         F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate")).alias("quote_accepted_at"),
     )
 
@@ -241,7 +286,8 @@ AUDITS_SQL = """raw_audits AS (
   FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)
   WHERE value >= 2 AND value <= 200 AND event_type <> 'error'),
 audits AS (
-  SELECT a.* FROM raw_audits a JOIN orders ON o_orderkey = shipment_id
+  SELECT a.*, o_orderdate - to_days(CAST(o_orderkey % 9 AS INTEGER)) AS quote_submitted_at, o_orderdate AS quote_accepted_at
+  FROM raw_audits a JOIN orders ON o_orderkey = shipment_id
   WHERE o_orderstatus <> 'P')"""
 
 TRAIL_SQL = f"""{AUDITS_SQL},

@@ -1,29 +1,22 @@
 """Contingency tables in long form ``(a, b, n)`` and tests on them.
 
 The facts are counted once per (a, b) with map-side combine; everything after
-works on that table, whose size is levels x levels. Facts that are counted
+works on that table. Tests read observed cells only, however many levels there are; tables
+that list empty cells have levels x levels rows by definition. Facts that are counted
 already pass their count as ``weight``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waybill.functions import chi2_sf, safe_ratio
-from waybill.operators.staging import staged
+from waybill.operators.joins import spread_join
+from waybill.operators.staging import one_row, staged
 
-# Bound on the levels of a category; exceeding it is an error, never a cut.
-MAX_LEVELS = 100_000
-
-
-def _levels(counts: DataFrame, column: str) -> Column:
-    found = counts.select(column).distinct().agg(F.collect_list(column).alias("v"))
-    return found.select(
-        F.when(F.size("v") <= MAX_LEVELS, F.col("v")).otherwise(
-            F.raise_error(F.lit(f"{column} has more than {MAX_LEVELS} levels"))
-        )
-    ).scalar()
+# Levels that one row holds while the grid of all cells is made.
+LEVEL_BLOCK = 1_000
 
 
 def pair_counts(df: DataFrame, a: str, b: str, weight: Column | None = None) -> DataFrame:
@@ -37,8 +30,16 @@ def pair_counts(df: DataFrame, a: str, b: str, weight: Column | None = None) ->
 
 
 def _filled(counts: DataFrame, a: str, b: str) -> DataFrame:
-    """The cells with empty ones as 0."""
-    grid = counts.select(a).distinct().withColumn(b, F.explode(_levels(counts, b)))
+    """The cells with empty ones as 0: every level of ``a`` with every level of ``b``.
+
+    Levels of ``b`` travel in blocks, so no row holds more than about ``LEVEL_BLOCK`` of them.
+    """
+    levels = counts.select(b).distinct()
+    blocks = levels.agg(F.ceil(F.count(F.lit(1)) / LEVEL_BLOCK).cast("int")).scalar()
+    blocks = F.greatest(F.lit(1), blocks)
+    packed = levels.groupBy(F.pmod(F.xxhash64(b), blocks).cast("int").alias("_block")).agg(F.collect_list(b).alias("_levels"))
+    spread = counts.select(a).distinct().withColumn("_block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    grid = spread.join(packed, "_block").select(a, F.explode("_levels").alias(b))
     return grid.join(counts, [a, b], "left").select(a, b, F.coalesce("n", F.lit(0)).alias("n"))
 
 
@@ -66,20 +67,24 @@ def crosstab(
     )
 
 
-def _sums(counts: DataFrame, a: str, b: str) -> DataFrame:
+def _sums(counts: DataFrame, a: str, b: str, cells: DataFrame) -> DataFrame:
+    """``cells`` with the sum of their row, of their column and of all.
+
+    Sums are joined to the cells, a level with very many cells is spread over tasks.
+    """
     whole = counts.agg(F.sum("n")).scalar()
-    return _filled(counts, a, b).withColumns(
-        {
-            "_row": F.sum("n").over(Window.partitionBy(a)),
-            "_col": F.sum("n").over(Window.partitionBy(b)),
-            "_all": whole,
-        }
-    )
+    out = cells
+    for level, other, name in ((a, b, "_row"), (b, a, "_col")):
+        sums = counts.groupBy(level).agg(F.sum("n").alias(name))
+        per_level = cells.groupBy(level).agg(F.count(F.lit(1)).alias("_rows"))
+        out = spread_join(out, sums, [level], [other], counts=per_level)
+    return out.withColumn("_all", whole)
 
 
 def conditional(df: DataFrame, a: str, b: str, weight: Column | None = None) -> DataFrame:
     """Joint, conditional and marginal relative frequencies of each cell."""
-    cells = _sums(pair_counts(df, a, b, weight), a, b)
+    counts = pair_counts(df, a, b, weight)
+    cells = _sums(counts, a, b, _filled(counts, a, b))
     return cells.select(
         a,
         b,
@@ -93,12 +98,13 @@ def conditional(df: DataFrame, a: str, b: str, weight: Column | None = None) ->
 
 
 def expected(df: DataFrame, a: str, b: str, weight: Column | None = None) -> DataFrame:
-    """Expected counts under independence and observed minus expected."""
-    return _expected(pair_counts(df, a, b, weight), a, b)
+    """Expected counts under independence and observed minus expected, empty cells included."""
+    counts = pair_counts(df, a, b, weight)
+    return _expected(counts, a, b, _filled(counts, a, b))
 
 
-def _expected(counts: DataFrame, a: str, b: str) -> DataFrame:
-    cells = _sums(counts, a, b)
+def _expected(counts: DataFrame, a: str, b: str, cells: DataFrame) -> DataFrame:
+    cells = _sums(counts, a, b, cells)
     e = safe_ratio(F.col("_row").cast("double") * F.col("_col"), "_all")
     return cells.select(
         a, b, F.col("n").alias("observed"), e.alias("expected"), (F.col("n") - e).alias("residual")
@@ -112,19 +118,29 @@ def chi2_independence(
 
     ``yates=True`` moves each cell towards its expectation by up to one half in
     the case of one degree of freedom.
+
+    Only observed cells are read: an empty cell adds its expectation, and the expectations of all
+    empty cells together are what those of the observed cells leave of the total. Columns may have any number
+    of levels. (The correction concerns two by two cells, which are filled.)
     """
     counts = pair_counts(df, a, b, weight)
-    cells = _expected(counts, a, b)
-    shape = counts.agg(((F.count_distinct(a) - 1) * (F.count_distinct(b) - 1)).alias("dof"))
-    gap = F.abs(F.col("residual"))
-    if yates:
-        dof = shape.scalar()
-        gap = F.when(dof == 1, gap - F.least(F.lit(0.5), gap)).otherwise(gap)
-    stat = cells.agg(
-        F.sum(gap * gap / F.col("expected")).alias("chi2"), F.sum("observed").alias("n")
+    shape = counts.agg(
+        F.count_distinct(a).alias("rows"), F.count_distinct(b).alias("cols"), F.count(F.lit(1)).alias("seen")
+    ).select(((F.col("rows") - 1) * (F.col("cols") - 1)).alias("dof"), (F.col("rows") * F.col("cols") > F.col("seen")).alias("gaps"))
+    known = one_row(shape)
+    gap, cells = F.abs(F.col("residual")), counts
+    if yates and shape.first()["dof"] == 1:
+        gap, cells = gap - F.least(F.lit(0.5), gap), _filled(counts, a, b)
+    stat = _expected(counts, a, b, cells).agg(
+        F.sum(gap * gap / F.col("expected")).alias("seen"),
+        F.sum("observed").alias("n"),
+        F.sum("expected").alias("covered"),
     )
-    return stat.select(
-        "chi2", shape.scalar().alias("dof"), "n"
+    missing = F.greatest(F.col("n") - F.col("covered"), F.lit(0.0))
+    if cells is not counts:
+        missing = F.lit(0.0)
+    return stat.withColumn("_shape", known).select(
+        (F.col("seen") + F.when(F.col("_shape.gaps"), missing).otherwise(0.0)).alias("chi2"), F.col("_shape.dof").alias("dof"), "n"
     ).withColumn("p_value", chi2_sf("chi2", "dof"))
 
 

@@ -40,14 +40,30 @@ def _support(params: DataFrame, low: Column, high: Column, block: int = 100_000)
         "_from", F.explode(F.sequence("_from", "_high", F.lit(block).cast("long")))
     )
     end = F.least(F.col("_from") + (block - 1), F.col("_high"))
-    return starts.withColumn("x", F.explode(F.sequence("_from", end))).drop("_from", "_high")
+    return starts.withColumn("x", F.explode(F.sequence("_from", end))).withColumnRenamed("_from", "_block").drop("_high")
 
 
 def _cumulate(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add cdf and tail; the support of one parameter set is a short range."""
-    w = Window.partitionBy(*keys).orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-    return frame.withColumn("cdf", F.sum("pmf").over(w)).withColumn(
-        "tail", F.col("pmf") + 1 - F.col("cdf")
+    """Add cdf and tail, whatever the length of a support.
+
+    A window works inside a block of the support; the sums of the blocks before it, a few numbers for each
+    parameter set, are joined to it. The tail is summed from its own end, so that small ones keep their digits.
+    """
+    inside = Window.partitionBy(*keys, "_block")
+    up = inside.orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
+    down = inside.orderBy("x").rowsBetween(0, Window.unboundedFollowing)
+    across = Window.partitionBy(*keys).orderBy("_block")
+    blocks = frame.groupBy(*keys, "_block").agg(F.sum("pmf").alias("_sum"))
+    carried = blocks.select(
+        *keys,
+        "_block",
+        F.coalesce(F.sum("_sum").over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)).alias("_below"),
+        F.coalesce(F.sum("_sum").over(across.rowsBetween(1, Window.unboundedFollowing)), F.lit(0.0)).alias("_above"),
+    )
+    local = frame.withColumns({"cdf": F.sum("pmf").over(up), "tail": F.sum("pmf").over(down)})
+    columns = [c for c in frame.columns if c != "_block"]
+    return local.join(carried, [*keys, "_block"]).select(
+        *columns, (F.col("cdf") + F.col("_below")).alias("cdf"), (F.col("tail") + F.col("_above")).alias("tail")
     )
 
 
@@ -59,9 +75,9 @@ def binomial_log_pmf(k: Column, n: Column, p: Column) -> Column:
     return log_choose(n, k) + _xlogy(k, p) + _xlogy(n - k, 1 - p)
 
 
-def binomial(params: DataFrame, keys: Sequence[str], n: str, p: str) -> DataFrame:
+def binomial(params: DataFrame, keys: Sequence[str], n: str, p: str, block: int = 100_000) -> DataFrame:
     """PMF, CDF and P(X >= x) over 0..n for each row of ``params``."""
-    grid = _support(params, F.lit(0).cast("long"), F.col(n).cast("long"))
+    grid = _support(params, F.lit(0).cast("long"), F.col(n).cast("long"), block)
     pmf = F.coalesce(F.exp(binomial_log_pmf(F.col("x"), F.col(n), F.col(p))), F.lit(0.0))
     return _cumulate(grid.withColumn("pmf", pmf), keys)
 
@@ -83,7 +99,7 @@ def geometric(params: DataFrame, keys: Sequence[str], p: str, up_to: int, first_
     failures before it (support from 0).
     """
     shift = 1 if first_success else 0
-    grid = _support(params, F.lit(shift).cast("long"), F.lit(up_to).cast("long"))
+    grid = _support(params, F.lit(shift).cast("long"), F.lit(up_to).cast("long")).drop("_block")
     q, k = 1 - F.col(p), F.col("x") - shift
     survival = F.pow(q, (k + 1).cast("double"))
     return grid.withColumns(
@@ -110,7 +126,7 @@ def interval_counts(df: DataFrame, ts: str, unit: str = "hour") -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"))
     )
     span = counts.agg(F.min("slot").alias("lo"), F.max("slot").alias("hi")).where("lo IS NOT NULL")
-    grid = span.select(F.explode(F.sequence("lo", "hi")).alias("slot"))
+    grid = _support(span, F.col("lo"), F.col("hi")).select(F.col("x").alias("slot"))
     return grid.join(counts, "slot", "left").select("slot", F.coalesce("n", F.lit(0)).alias("n"))
 
 

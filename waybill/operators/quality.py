@@ -72,6 +72,16 @@ def frequencies(df: DataFrame, column: str) -> DataFrame:
     return counts.select("value", "n", safe_ratio("n", total).alias("share"))
 
 
+def category_shares(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Count and share of every value of several columns, from one pass; NULL is a value of its own."""
+    tall = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot(
+        [], list(columns), "column_name", "value"
+    )
+    counts = tall.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    rows = counts.agg(F.sum("n")).scalar() / len(columns)
+    return counts.select("column_name", "value", "n", safe_ratio("n", rows).alias("share"))
+
+
 def repeated_share(df: DataFrame, key: str, more_than: int = 1) -> DataFrame:
     """Share of keys that occur more than ``more_than`` times."""
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))

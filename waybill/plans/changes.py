@@ -24,7 +24,8 @@ def change_extract(
     """Audit rows that changed ``field`` of an origin leg with an accepted quote.
 
     ``legs`` carries the boolean ``from_origin``, ``audits`` the type of what was
-    audited and the JSON ``changes``.
+    audited and the JSON ``changes``; ``quotes`` has when each was submitted and accepted. A shipment with
+    several accepted quotes repeats its changes, once for each.
     """
     lo, hi = (F.lit(d).cast("timestamp_ntz") for d in (start, end))
     recent = audits.where((F.col("changed_at") >= lo) & (F.col("changed_at") <= hi)).where(
@@ -38,13 +39,35 @@ def change_extract(
     # Legs meet their quotes first, so that the log is joined once; a leg with very
     # many changes is spread over tasks. Counting them needs no document to be parsed.
     per_leg = recent.groupBy("leg_id").agg(F.count(F.lit(1)).alias("_rows"))
-    accepted = quotes.where("quote_accepted_at IS NOT NULL").select("shipment_id")
+    accepted = quotes.where("quote_accepted_at IS NOT NULL").select(
+        "shipment_id", "quote_submitted_at", "quote_accepted_at"
+    )
     eligible = legs.where("from_origin").select("leg_id", "shipment_id").join(accepted, "shipment_id")
     return spread_join(rows, eligible, ["leg_id"], spread_by=["audit_id"], counts=per_leg).select(
-        "audit_id", "leg_id", "action", "shipment_id", "changed_at", "new_value"
+        "audit_id",
+        "leg_id",
+        "action",
+        "shipment_id",
+        "changed_at",
+        "new_value",
+        "quote_submitted_at",
+        "quote_accepted_at",
     )
 
 
+def changes_per_key(changes: DataFrame, key: str = "leg_id", top: int | None = None) -> DataFrame:
+    """How many keys changed how often, their share of all keys, the commonest number of changes first.
+
+    ``top`` keeps the commonest ones. Rows without a key are left out. The result has a row per number of
+    changes, however many keys there are.
+    """
+    per_key = changes.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n_changes"))
+    counted = per_key.groupBy("n_changes").agg(F.count(F.lit(1)).alias("keys"))
+    all_keys = counted.agg(F.sum("keys")).scalar()
+    shares = counted.withColumn("share", F.col("keys") / all_keys).orderBy(F.desc("keys"), "n_changes")
+    return shares.limit(top) if top is not None else shares
+
+
 def change_trail(
     changes: DataFrame,
     key: str = "leg_id",

@@ -8,7 +8,7 @@ one change per day before anything is ordered, so only the calendar is sorted.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,6 +17,16 @@ from waybill.operators.frames import impute_group_median
 
 MONEY = "decimal(28,4)"
 
+# The milestones at which goods start and end their transit, by freight type, and the
+# milestones that stand in for an end that is not known, in this order.
+TRANSIT = {
+    "Door to Door": ("actual_origin_departed_at", "actual_in_full_delivered_at"),
+    "Door to Port": ("actual_origin_departed_at", "actual_arrival_port_arrived_at"),
+    "Port to Door": ("actual_departure_port_departed_at", "actual_in_full_delivered_at"),
+    "Port to Port": ("actual_departure_port_departed_at", "actual_arrival_port_arrived_at"),
+}
+TRANSIT_END_FALLBACKS = ("actual_first_delivered_at", "actual_arrival_port_arrived_at")
+
 
 def sweep_sum(
     facts: DataFrame, first_day: Column, last_day: Column, value: Column, start: str, end: str
@@ -68,6 +78,55 @@ def imputed_values(
     )
 
 
+def transit_interval(
+    shipments: DataFrame,
+    rules: Mapping[str, tuple[str, str]] = TRANSIT,
+    fallbacks: Sequence[str] = TRANSIT_END_FALLBACKS,
+    freight_type: str = "freight_type",
+) -> DataFrame:
+    """Add ``start_at`` and ``end_at`` of the transit: the milestones that the freight type names.
+
+    An end that is NULL is the first of ``fallbacks`` that is known; a start has no stand-in. A freight
+    type without a rule has no start, and its end comes from the fallbacks alone.
+    """
+    kind = F.col(freight_type)
+    ends = []
+    for side in (0, 1):
+        chosen = F.lit(None).cast("timestamp_ntz")
+        for name, milestones in rules.items():
+            chosen = F.when(kind == name, F.col(milestones[side])).otherwise(chosen)
+        ends.append(chosen)
+    return shipments.withColumns(
+        {"start_at": ends[0], "end_at": F.coalesce(ends[1], *[F.col(c) for c in fallbacks])}
+    )
+
+
+def financed(invoices: DataFrame) -> DataFrame:
+    """Shipments with a live invoice that has a financed amount, each once."""
+    live = invoices.where("invoice_type = 'Invoice' AND invoiceable_type = 'Shipment'")
+    live = live.where("deleted_at IS NULL AND voided_at IS NULL AND capital_amount > 0")
+    return live.select("shipment_id").distinct()
+
+
+def transit_collateral(
+    shipments: DataFrame,
+    invoices: DataFrame,
+    values: DataFrame,
+    days: DataFrame,
+    start: str,
+    end: str,
+    reference: tuple[str, str],
+) -> DataFrame:
+    """Value in transit per day of live, financed shipments.
+
+    Transit follows from the freight type, a missing value is the client's median of the
+    ``reference`` period. ``shipments`` has ``is_live``, ``client_id``, ``value`` and the milestones.
+    """
+    live = shipments.where("is_live").join(financed(invoices), "shipment_id", "left_semi")
+    moved = transit_interval(live).where("start_at <= end_at")
+    return daily_collateral(imputed_values(moved, values, reference), days, start, end)
+
+
 def daily_collateral(shipments: DataFrame, days: DataFrame, start: str, end: str) -> DataFrame:
     """Value in transit per day of shipments with ``start_at``, ``end_at``, ``imputed_value``.
 

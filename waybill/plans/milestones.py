@@ -54,16 +54,20 @@ def update_speed(
     people: Sequence[str],
     low: float = -336.0,
     high: float = 0.0,
+    keep: Column | None = None,
 ) -> DataFrame:
     """Mean lead hours by kind of user, strictly inside (low, high).
 
+    ``keep`` chooses updates first, such as actual ones of some modes (NULL counts as no).
+
     Updates without source, creator or category are dropped. They are summed per
     source and creator before the lookup, so a creator with very many updates
     joins as a single row.
     """
     lead = F.col("lead_hours")
+    chosen = updates if keep is None else updates.where(keep)
     summed = (
-        updates.dropna("any", subset=["source", "created_by"])
+        chosen.dropna("any", subset=["source", "created_by"])
         .where((lead < high) & (lead > low))
         .groupBy("source", "created_by")
         .agg(F.count(F.lit(1)).alias("_n"), F.sum(lead).alias("_sum"))
