@@ -383,3 +383,39 @@ def test_category_shares(frame, rows):
     assert rows(quality.category_shares(df, ["e", "c"])) == sorted(
         [("e", "x", 2, 0.5), ("e", "y", 1, 0.25), ("e", None, 1, 0.25), ("c", "usd", 3, 0.75), ("c", "eur", 1, 0.25)], key=repr
     )
+
+
+def test_likelihood_fits_find_the_maximum(spark):
+    """Small steps away from the fitted parameters make the data less likely."""
+    rng = random.Random(21)
+    data = [(rng.gammavariate(2.5, 3.0), rng.betavariate(2.0, 5.0), rng.weibullvariate(4.0, 1.7)) for _ in range(4000)]
+    df = spark.createDataFrame([*data, (None, None, None), (0.0, 0.0, -1.0), (-3.0, 1.0, 0.0)], "g double, b double, w double")
+
+    def total(log_pdf, values):
+        return sum(log_pdf(x) for x in values)
+
+    g = distributions.gamma_fit(df, "g").first()
+    like = lambda k, s: total(lambda x: (k - 1) * math.log(x) - x / s - k * math.log(s) - math.lgamma(k), [r[0] for r in data])
+    assert g.n == 4000 and g.log_likelihood == pytest.approx(like(g.shape, g.scale), rel=1e-9)
+    for d in (-1e-3, 1e-3):
+        assert like(g.shape * (1 + d), g.scale) < g.log_likelihood > like(g.shape, g.scale * (1 + d))
+    b = distributions.beta_fit(df, "b").first()
+    const = lambda a, c: math.lgamma(a + c) - math.lgamma(a) - math.lgamma(c)
+    like = lambda a, c: total(lambda x: (a - 1) * math.log(x) + (c - 1) * math.log(1 - x) + const(a, c), [r[1] for r in data])
+    assert b.n == 4000 and b.log_likelihood == pytest.approx(like(b.a, b.b), rel=1e-9)
+    for d in (-1e-3, 1e-3):
+        assert like(b.a * (1 + d), b.b) < b.log_likelihood > like(b.a, b.b * (1 + d))
+    w = distributions.weibull_fit(df, "w").first()
+    like = lambda k, s: total(lambda x: math.log(k / s) + (k - 1) * math.log(x / s) - (x / s) ** k, [r[2] for r in data])
+    assert w.n == 4000 and w.log_likelihood == pytest.approx(like(w.shape, w.scale), rel=1e-9)
+    for d in (-1e-3, 1e-3):
+        assert like(w.shape * (1 + d), w.scale) < w.log_likelihood > like(w.shape, w.scale * (1 + d))
+
+
+def test_likelihood_fits_of_constant_and_empty_columns(frame):
+    same = frame("x double", [(0.5,), (0.5,)])
+    none = frame("x double", [])
+    for df, n in ((same, 2), (none, 0)):
+        assert distributions.gamma_fit(df, "x").first()[:2] == (n, None)
+        assert distributions.beta_fit(df, "x").first()[:2] == (n, None)
+        assert distributions.weibull_fit(df, "x").first()[:2] == (n, None)

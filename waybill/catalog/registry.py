@@ -53,6 +53,29 @@ def upper_gamma_sql(a: str, x: str) -> str:
     return f"(CASE WHEN {x} <= 0 THEN 1.0 WHEN {x} > 600 THEN 0.0 ELSE greatest(0.0, 1 - {series}) END)"
 
 
+def digamma_sql(a: str) -> str:
+    """SQL text for the digamma function: asymptotic series at a + 8 and the recurrence."""
+    z = f"({a} + 8)"
+    series = f"ln({z}) - 0.5 / {z} - 1 / (12 * power({z}, 2)) + 1 / (120 * power({z}, 4)) - 1 / (252 * power({z}, 6)) + 1 / (240 * power({z}, 8))"
+    return "(" + series + "".join(f" - 1 / ({a} + {k})" for k in range(8)) + ")"
+
+
+def trigamma_sql(a: str) -> str:
+    """SQL text for the trigamma function."""
+    z = f"({a} + 8)"
+    series = f"1 / {z} + 1 / (2 * power({z}, 2)) + 1 / (6 * power({z}, 3)) - 1 / (30 * power({z}, 5)) + 1 / (42 * power({z}, 7)) - 1 / (30 * power({z}, 9))"
+    return "(" + series + "".join(f" + 1 / power({a} + {k}, 2)" for k in range(8)) + ")"
+
+
+def gamma_newton_sql(source: str, name: str, keys: str) -> str:
+    """Recursive SQL of Newton steps for the gamma shape from ``mean`` and ``lm`` of ``source``."""
+    return f"""{name} AS (
+  SELECT {keys}, mean, lm, 0 AS i, (3 - (ln(mean) - lm) + sqrt(power(ln(mean) - lm - 3, 2) + 24 * (ln(mean) - lm))) / (12 * (ln(mean) - lm)) AS k
+  FROM {source}
+  UNION ALL
+  SELECT {keys}, mean, lm, i + 1, k - (ln(k) - {digamma_sql("k")} - (ln(mean) - lm)) / (1 / k - {trigamma_sql("k")}) FROM {name} WHERE i < 12)"""
+
+
 def two_sided_sql(z: str) -> str:
     """SQL text for P(|Z| > |z|) of the standard normal."""
     return upper_gamma_sql("0.5", f"(({z}) * ({z}) / 2)")

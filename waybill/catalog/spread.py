@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from waybill.catalog import views as v
-from waybill.catalog.registry import publish, query, r
+from waybill.catalog.registry import digamma_sql, gamma_newton_sql, publish, query, r, trigamma_sql
 from waybill.operators import distributions, ordered, quality, survival
 
 
@@ -63,6 +63,48 @@ def moments(t):
     return publish(distributions.moments(t.lineitem, "l_quantity", ["l_returnflag"]))
 
 
+@query(f"""
+WITH RECURSIVE s AS (SELECT l_returnflag, count(*) AS n, avg(l_extendedprice) AS mean, avg(ln(l_extendedprice)) AS lm FROM lineitem GROUP BY 1),
+{gamma_newton_sql("s", "it", "l_returnflag")}
+SELECT l_returnflag, n, {r("k")} AS shape, {r("it.mean / k", 3)} AS scale,
+       {r("n * ((k - 1) * it.lm - k - k * ln(it.mean / k) - lgamma(k))", 2)} AS log_likelihood FROM it JOIN s USING (l_returnflag) WHERE i = 12
+""")
+def gamma_fit(t):
+    return publish(distributions.gamma_fit(t.lineitem, "l_extendedprice", ["l_returnflag"]), scale=3, log_likelihood=2)
+
+
+@query(f"""
+WITH RECURSIVE x AS (SELECT l_quantity / 51.0::DOUBLE AS x FROM lineitem WHERE l_quantity / 51.0::DOUBLE BETWEEN 1e-12 AND 0.999999999999),
+s AS (SELECT count(*) AS n, avg(x) AS mean, var_pop(x) AS var, avg(ln(x)) AS l, avg(ln(1 - x)) AS r FROM x),
+it AS (
+  SELECT 0 AS i, l, r, n, mean * (mean * (1 - mean) / var - 1) AS a, (1 - mean) * (mean * (1 - mean) / var - 1) AS b FROM s
+  UNION ALL
+  SELECT i + 1, l, r, n, a - (g * (tc - tb) - h * tc) / ((tc - ta) * (tc - tb) - tc * tc), b - (h * (tc - ta) - g * tc) / ((tc - ta) * (tc - tb) - tc * tc)
+  FROM (SELECT *, {trigamma_sql("a")} AS ta, {trigamma_sql("b")} AS tb, {trigamma_sql("(a + b)")} AS tc,
+               {digamma_sql("(a + b)")} - {digamma_sql("a")} + l AS g, {digamma_sql("(a + b)")} - {digamma_sql("b")} + r AS h FROM it WHERE i < 12))
+SELECT n, {r("a")} AS a, {r("b")} AS b, {r("n * ((a - 1) * l + (b - 1) * r + lgamma(a + b) - lgamma(a) - lgamma(b))", 3)} AS log_likelihood FROM it WHERE i = 12
+""")
+def beta_fit(t):
+    share = t.lineitem.select((F.col("l_quantity") / 51.0).alias("x"))
+    return publish(distributions.beta_fit(share, "x"), log_likelihood=3)
+
+
+@query(f"""
+WITH RECURSIVE x AS (SELECT l_quantity::DOUBLE AS x, count(*) AS n FROM lineitem WHERE l_quantity > 0 GROUP BY 1),
+t AS (SELECT max(x) AS top, sum(n) AS n, sum(n * ln(x)) / sum(n) AS lm FROM x),
+it AS (
+  SELECT 0 AS i, 1.0::DOUBLE AS k
+  UNION ALL
+  SELECT i + 1, k - (s1 / s0 - 1 / k - (lm - ln(top))) / (s2 / s0 - power(s1 / s0, 2) + 1 / (k * k))
+  FROM (SELECT i, k, lm, top, sum(x.n * power(x / top, k)) AS s0, sum(x.n * power(x / top, k) * ln(x / top)) AS s1,
+               sum(x.n * power(x / top, k) * power(ln(x / top), 2)) AS s2 FROM it, t, x WHERE i < 20 GROUP BY i, k, lm, top)),
+f AS (SELECT k, t.n, lm, top * power((SELECT sum(x.n * power(x / top, k)) FROM x) / t.n, 1 / k) AS scale FROM it, t WHERE i = 20)
+SELECT CAST(n AS BIGINT) AS n, {r("k")} AS shape, {r("scale")} AS scale, {r("n * (ln(k) - k * ln(scale) + (k - 1) * lm - 1)", 3)} AS log_likelihood FROM f
+""")
+def weibull_fit(t):
+    return publish(distributions.weibull_fit(t.lineitem, "l_quantity").drop("steps"), log_likelihood=3)
+
+
 @query(f"""
 SELECT count(*) AS n, {r("avg(abs(value - (SELECT avg(value) FROM events)))")} AS mean_abs_deviation FROM events
 """)
@@ -82,16 +124,18 @@ def normal_fit(t):
 
 
 @query(f"""
-WITH b AS (
+WITH RECURSIVE b AS (
   SELECT avg(value) AS mean, stddev_pop(value) AS std, min(value) AS lo, max(value) AS hi, avg(value * value) AS msq,
          avg(ln(value)) AS lm, stddev_pop(ln(value)) AS ls, count(*) AS total FROM events),
-p AS (SELECT *, (hi - lo) / 60 AS w, mean - lo AS es, std / sqrt(2) AS la, std * sqrt(3) / pi() AS lg,
+{gamma_newton_sql("b", "newton", "total")},
+p AS (SELECT *, (SELECT k FROM newton WHERE i = 12) AS gk, (hi - lo) / 60 AS w, mean - lo AS es, std / sqrt(2) AS la, std * sqrt(3) / pi() AS lg,
              std * sqrt(6) / pi() AS gu, msq / 2 AS ry FROM b),
 h AS (SELECT least(floor((value - lo) / w), 59) AS bin, count(*) AS n FROM events, p GROUP BY 1),
 g AS (SELECT lo + (i + 0.5) * w AS x, coalesce(n, 0) / (total * w) AS y, p.*
       FROM range(60) AS s(i) LEFT JOIN h ON i = bin CROSS JOIN p),
 e AS (
   SELECT 'normal' AS family, sum(power(y - exp(-power((x - mean) / std, 2) / 2) / (std * sqrt(2 * pi())), 2)) AS sse FROM g
+  UNION ALL SELECT 'gamma', sum(power(y - exp((gk - 1) * ln(x) - x * gk / mean - gk * ln(mean / gk) - lgamma(gk)), 2)) FROM g
   UNION ALL SELECT 'exponential', sum(power(y - exp(-(x - lo) / es) / es, 2)) FROM g
   UNION ALL SELECT 'uniform', sum(power(y - 1 / (hi - lo), 2)) FROM g
   UNION ALL SELECT 'laplace', sum(power(y - exp(-abs(x - mean) / la) / (2 * la), 2)) FROM g

@@ -16,7 +16,7 @@ from waybill.functions.numbers import (
 )
 from waybill.functions.places import density, haversine
 from waybill.functions.text import change_value, parse_money, slug, strip_quotes, truthy, same_text
-from waybill.functions.tails import chi2_sf, log_gamma, normal_cdf, normal_two_sided, upper_gamma
+from waybill.functions.tails import chi2_sf, digamma, log_gamma, normal_cdf, normal_two_sided, trigamma, upper_gamma
 
 __all__ = [
     "boundary_diff",
@@ -32,9 +32,11 @@ __all__ = [
     "logit",
     "monday_bucket",
     "month_end",
+    "digamma",
     "log_gamma",
     "normal_cdf",
     "normal_two_sided",
+    "trigamma",
     "upper_gamma",
     "parse_money",
     "quarter_start",

@@ -30,6 +30,28 @@ def log_gamma(a: Column | str) -> Column:
     return (z - 0.5) * F.ln(z) - z + 0.5 * math.log(2 * math.pi) + tail - F.ln(product)
 
 
+def digamma(a: Column | str) -> Column:
+    """Derivative of ``log_gamma``, by the asymptotic series at a + 8 and the recurrence."""
+    a = _col(a).cast("double")
+    z = a + 8
+    square = F.lit(1.0) / (z * z)
+    out = F.ln(z) - 0.5 / z - square * (1 / 12 - square * (1 / 120 - square * (1 / 252 - square / 240)))
+    for k in range(8):
+        out = out - F.lit(1.0) / (a + k)
+    return out
+
+
+def trigamma(a: Column | str) -> Column:
+    """Derivative of ``digamma``."""
+    a = _col(a).cast("double")
+    z = a + 8
+    square = F.lit(1.0) / (z * z)
+    out = F.lit(1.0) / z + square / 2 + square / z * (1 / 6 - square * (1 / 30 - square * (1 / 42 - square / 30)))
+    for k in range(8):
+        out = out + F.lit(1.0) / ((a + k) * (a + k))
+    return out
+
+
 def _series(a: Column, x: Column) -> Column:
     """Sum of x^n / (a (a+1) ... (a+n))."""
     n = (F.lit(60) + F.ceil(10 * F.sqrt(a))).cast("int")

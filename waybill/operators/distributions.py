@@ -8,10 +8,11 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from waybill.functions import log_choose, log_factorial, safe_ratio
+from waybill.functions import digamma, log_choose, log_factorial, log_gamma, safe_ratio, trigamma
 from waybill.operators.ordered import running_totals
 from waybill.operators.quality import histogram
 from waybill.operators.staging import one_row, staged
+from waybill.sources import from_rows
 
 
 def empirical(df: DataFrame, column: str) -> DataFrame:
@@ -219,7 +220,10 @@ def _densities(x: Column, s: Callable[[str], Column]) -> dict[str, Column]:
     var_r = s("mean_square") / 2
     mu, sigma = s("log_mean"), s("log_std")
     zn = (F.ln(F.when(x > 0, x)) - mu) / sigma
+    shape, scale = s("shape"), s("mean") / s("shape")
+    log_gamma_pdf = (shape - 1) * F.ln(x) - x / scale - shape * F.ln(scale) - log_gamma(shape)
     return {
+        "gamma": F.when(lo > 0, F.when(x > 0, F.exp(log_gamma_pdf)).otherwise(0.0)),
         "normal": _normal_pdf(x, mean, std),
         "exponential": F.when(x >= lo, F.exp(-(x - lo) / exp_scale) / exp_scale).otherwise(0.0),
         "uniform": F.when((x >= lo) & (x <= hi), 1 / (hi - lo)).otherwise(0.0),
@@ -234,11 +238,101 @@ def _densities(x: Column, s: Callable[[str], Column]) -> dict[str, Column]:
     }
 
 
+#: Newton steps of the likelihood equations; each squares the error, and the starts are near.
+STEPS = 12
+
+
+def gamma_shape(mean: Column, log_mean: Column) -> Column:
+    """The gamma shape of greatest likelihood from the mean and the mean logarithm alone.
+
+    Newton's iteration of ``ln k - digamma(k) = ln(mean) - log_mean``; NULL where all values are equal.
+    """
+    s = F.ln(mean) - log_mean
+    start = (3 - s + F.sqrt((s - 3) * (s - 3) + 24 * s)) / (12 * s)
+
+    def step(k: Column, _: Column) -> Column:
+        return F.greatest(k - (F.ln(k) - digamma(k) - s) / (1 / k - trigamma(k)), k / 10)
+
+    return F.when(s > 1e-14, F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)), start, step))
+
+
+def gamma_fit(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
+    """Gamma shape, scale and log-likelihood per group, from one aggregate and Newton's iteration.
+
+    Values of 0 and less, and NULLs, are left out.
+    """
+    x = F.when(F.col(column) > 0, F.col(column).cast("double"))
+    sums = df.groupBy(*by).agg(F.count(x).alias("n"), F.avg(x).alias("_mean"), F.avg(F.ln(x)).alias("_log"))
+    fitted = sums.withColumn("shape", gamma_shape(F.col("_mean"), F.col("_log"))).withColumn("scale", F.col("_mean") / F.col("shape"))
+    k, theta = F.col("shape"), F.col("scale")
+    likelihood = F.col("n") * ((k - 1) * F.col("_log") - k - k * F.ln(theta) - log_gamma(k))
+    return fitted.select(*by, "n", "shape", "scale", likelihood.alias("log_likelihood"))
+
+
+def beta_fit(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
+    """Beta parameters and log-likelihood per group of values strictly between 0 and 1.
+
+    Newton's iteration on the mean logarithms of x and 1 - x, begun at the moments' solution.
+    """
+    x = F.when((F.col(column) > 0) & (F.col(column) < 1), F.col(column).cast("double"))
+    sums = df.groupBy(*by).agg(
+        F.count(x).alias("n"), F.avg(x).alias("_mean"), F.var_pop(x).alias("_var"), F.avg(F.ln(x)).alias("_l"), F.avg(F.ln(1 - x)).alias("_r")
+    )
+    size = F.greatest(F.col("_mean") * (1 - F.col("_mean")) / F.col("_var") - 1, F.lit(0.1))
+    start = F.struct((F.col("_mean") * size).alias("a"), ((1 - F.col("_mean")) * size).alias("b"))
+
+    def step(s: Column, _: Column) -> Column:
+        a, b = s["a"], s["b"]
+        both = trigamma(a + b)
+        g, h = digamma(a + b) - digamma(a) + F.col("_l"), digamma(a + b) - digamma(b) + F.col("_r")
+        aa, bb = both - trigamma(a), both - trigamma(b)
+        det = aa * bb - both * both
+        return F.struct(
+            F.greatest(a - (g * bb - h * both) / det, a / 10).alias("a"), F.greatest(b - (h * aa - g * both) / det, b / 10).alias("b")
+        )
+
+    fitted = sums.withColumn("_p", F.when(F.col("_var") > 0, F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)), start, step)))
+    a, b = F.col("_p.a"), F.col("_p.b")
+    likelihood = F.col("n") * ((a - 1) * F.col("_l") + (b - 1) * F.col("_r") + log_gamma(a + b) - log_gamma(a) - log_gamma(b))
+    return fitted.select(*by, "n", a.alias("a"), b.alias("b"), likelihood.alias("log_likelihood"))
+
+
+def weibull_fit(df: DataFrame, column: str, tolerance: float = 1e-12, most_steps: int = 50) -> DataFrame:
+    """Weibull shape, scale and log-likelihood of the positive values, and the passes it took.
+
+    The shape's equation has sums of powers that change with the shape, so each Newton step is one
+    aggregate over the counted values; three numbers come back from each.
+    """
+    values = df.select(F.col(column).cast("double").alias("x")).where("x > 0")
+    counts = staged(values.groupBy("x").agg(F.count(F.lit(1)).cast("double").alias("n")))
+    top = counts.agg(F.max("x")).scalar()
+    scaled = staged(counts.withColumn("y", F.ln(F.col("x") / top)))
+    first = scaled.agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("y")).alias("l"), F.max("x").alias("top"), F.min("y").alias("low")).first()
+    spark, schema = df.sparkSession, "n long, shape double, scale double, log_likelihood double, steps int"
+    if not first["n"] or first["low"] == 0.0:
+        return from_rows(spark, [(int(first["n"] or 0), None, None, None, 0)], schema)
+    n, mean_log = first["n"], first["l"] / first["n"]
+    k, steps, moved = 1.0, 0, math.inf
+    while moved > tolerance and steps < most_steps:
+        w = F.col("n") * F.exp(F.lit(k) * F.col("y"))
+        s0, s1, s2 = scaled.agg(F.sum(w), F.sum(w * F.col("y")), F.sum(w * F.col("y") * F.col("y"))).first()
+        value = s1 / s0 - 1 / k - mean_log
+        slope = s2 / s0 - (s1 / s0) ** 2 + 1 / (k * k)
+        after = max(k - value / slope, k / 4)
+        moved, k, steps = abs(after - k) / k, after, steps + 1
+    s0 = scaled.agg(F.sum(F.col("n") * F.exp(F.lit(k) * F.col("y")))).first()[0]
+    scale = first["top"] * (s0 / n) ** (1 / k)
+    logs = mean_log + math.log(first["top"])
+    likelihood = n * (math.log(k) - k * math.log(scale) + (k - 1) * logs - 1)
+    return from_rows(spark, [(int(n), k, scale, likelihood, steps)], schema)
+
+
 def best_fit(df: DataFrame, column: str, bins: int = 200) -> DataFrame:
     """Named families ranked by squared error against the histogram density.
 
-    Parameters come in closed form from one aggregate. A family that cannot hold
-    the data (lognormal with non-positive values) has a NULL error and no rank.
+    Parameters come from one aggregate, in closed form or, for the gamma family, by the
+    iteration for the greatest likelihood. A family that cannot hold
+    the data (lognormal, gamma with non-positive values) has a NULL error and no rank.
     """
     values = df.select(F.col(column).cast("double").alias("v")).where("v IS NOT NULL")
     stats = values.agg(
@@ -250,6 +344,7 @@ def best_fit(df: DataFrame, column: str, bins: int = 200) -> DataFrame:
         F.avg(F.when(F.col("v") > 0, F.ln("v"))).alias("log_mean"),
         F.stddev_pop(F.when(F.col("v") > 0, F.ln("v"))).alias("log_std"),
     )
+    stats = stats.withColumn("shape", F.when(F.col("lo") > 0, gamma_shape(F.col("mean"), F.col("log_mean"))))
     shape = histogram(values, "v", bins).withColumn("_s", one_row(stats))
     fits = _densities(F.col("midpoint"), lambda name: F.col(f"_s.{name}"))
     errors = shape.select(
