@@ -12,7 +12,10 @@ theirs. If even this is too little, another hash deals the set's band again.
 
 Candidates are groups of sets under one key. No group is turned into all its pairs: its members are
 verified against a few central ones, components are formed, and only pairs of members of different
-components are left to be verified. All verification is exact on whole shingle sets.
+components are left to be verified. In a group of more than ``HOT_SETS`` of these, such as sets that share
+a common passage and little else, a pair must also share one of the rarest shingles of each: of two linked
+sets, the quarter of either that stands first in any order of all shingles has one in common with the other's.
+Verification counts the shingles, 64-bit hashes, of whole sets.
 """
 
 from __future__ import annotations
@@ -32,6 +35,9 @@ INDEX, SEARCH, SEARCH_BELOW = 1, 2, 4
 BUCKET_KEYS = 1_500_000
 SEND_IDS = 1_000_000
 STARS = 2
+HOT_SETS = 32
+#: Places of the table of approximate shingle counts that orders shingles by rarity.
+RARITY = 1 << 18
 _SEGMENT = np.uint64(0x2545F4914F6CDD1D)
 _BAND = np.uint64(0x9FB21C651E98DF25)
 _KIND = np.uint64(0xA0761D6478BD642F)
@@ -219,8 +225,55 @@ def _batches(rows, function):
             yield from function(batch, a, b, sets_of(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]))
 
 
+def rare_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs ``a < b`` of the sets ``members`` that share a shingle among the rarest quarter of both.
+
+    Rarity is the count of a shingle's place in a table of fixed size; any order of the shingles finds all
+    linked pairs, and one by rarity keeps the lists short.
+    """
+    chosen = sets.join(members.select("name").distinct(), "name", "left_semi").select("name", "values")
+
+    def places(values: np.ndarray) -> np.ndarray:
+        return (words.mixed(values) & np.uint64(RARITY - 1)).astype(np.int64)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(RARITY, np.int64)
+        for batch in batches:
+            values = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint64)
+            total += np.bincount(places(values), minlength=RARITY)
+        found = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], ["place", "n"])
+
+    rarity = np.zeros(RARITY, np.int64)
+    counted = chosen.mapInArrow(count, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    rarity[counted["place"].to_numpy()] = counted["n"].to_numpy()
+    sent = sets.sparkSession.sparkContext.broadcast(rarity)
+
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            owner, shingles = [], []
+            for row, values in enumerate(batch.column(1)):
+                values = np.frombuffer(values.as_buffer(), np.uint64)
+                order = np.lexsort((values, sent.value[places(values)]))
+                first = values[order[: len(values) - -(-3 * len(values) // 4) + 1]]
+                owner.append(np.full(len(first), row))
+                shingles.append(first)
+            if owner:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(shingles).view(np.int64)), batch.column(0).take(pa.array(np.concatenate(owner)))], ["shingle", "name"]
+                )
+
+    entries = shared.kept(chosen.mapInArrow(rarest, "shingle long, name long"))
+    live = entries.groupBy("shingle").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("shingle")
+    facts = members.select("name", "n", "part").distinct()
+    lists = entries.join(live, "shingle").join(facts, "name")
+    other = lists.select("shingle", F.col("name").alias("b"), F.col("n").alias("m"), F.col("part").alias("q"))
+    near = (F.col("name") < F.col("b")) & (F.col("part") != F.col("q")) & (4 * F.least("n", "m") >= 3 * F.greatest("n", "m"))
+    return lists.join(other, "shingle").where(near).select(F.col("name").alias("a"), "b")
+
+
 def named(documents: DataFrame) -> DataFrame:
-    """``doc_id``, set size ``n``, set name (NULL: no set), ``slack`` and exceptional searches of every row."""
+    """``doc_id``, ``mark`` (a hash of the text), set size ``n``, set name (NULL: no set), ``slack`` and exceptional searches of every row."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def each(batch, a, b, s: Sets):
@@ -233,19 +286,20 @@ def named(documents: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0)[a:b],
+                    batch.column(2)[a:b],
                     pa.array(n),
                     pa.array(name, mask=n == 0),
                     pa.array(slack[:, 0]),
                     pa.array(slack[:, 1]),
                     pa.array([extra] + [[]] * (b - a - 1), kind),
                 ],
-                ["doc_id", "n", "name", "slack", "slack_below", "extra"],
+                ["doc_id", "mark", "n", "name", "slack", "slack_below", "extra"],
             )
 
         kind = pa.list_(pa.struct([("band", pa.int32()), ("seed", pa.int32()), ("one", pa.bool_())]))
         yield from _batches(rows, each)
 
-    schema = "doc_id long, n long, name long, slack long, slack_below long, extra array<struct<band:int,seed:int,one:boolean>>"
+    schema = "doc_id long, mark long, n long, name long, slack long, slack_below long, extra array<struct<band:int,seed:int,one:boolean>>"
     return shared.kept(documents.mapInArrow(run, schema))
 
 
@@ -375,8 +429,13 @@ def joined(documents: DataFrame) -> DataFrame:
     themselves. Shingles are 64-bit hashes. A NULL doc_id is kept with a NULL component unless linked to
     others. Repeated rows are kept. Other columns are ignored.
     """
+    return _labelled(*_components(documents)).select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("_low", "doc_id").alias("component_id"))
+
+
+def _components(documents: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The rows with the names of their sets, and the component of every linked set."""
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = named(texts)
+    rows = named(texts.withColumn("mark", F.xxhash64(F.coalesce("text", F.lit("")))))
     extra = [(r["band"], r["seed"], r["one"]) for r in rows.select(F.explode("extra").alias("e")).select("e.*").distinct().collect()]
     total = rows.agg(F.sum("n")).first()[0] or 0
     met = shared.kept(grouped(texts, max(16, -(-total // BUCKET_KEYS)), sorted(extra)))
@@ -400,7 +459,20 @@ def joined(documents: DataFrame) -> DataFrame:
 
         yield from _batches(batches, each)
 
-    sets = shared.table(found.select("doc_id", "text", "_name").mapInArrow(collect, "name long, values binary").dropDuplicates(["name"]), "sets")
+    def collect_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def each(batch, a, b, s: Sets):
+            values = [s.values[x:y].tobytes() for x, y in zip(s.first[:-1], s.first[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array(s.names), pa.array(values, pa.binary())], ["name", "values"])
+
+        yield from _batches(batches, each)
+
+    fetched = found.select("doc_id", "text", "_name").mapInArrow(collect, "name long, values binary")
+    # Sets that only rows without doc_id have are found by their names.
+    nowhere = wanted.where("doc_id IS NULL").select("name")
+    if not nowhere.isEmpty():
+        unnamed = texts.where("doc_id IS NULL").mapInArrow(collect_all, "name long, values binary")
+        fetched = fetched.unionByName(unnamed.join(nowhere, "name", "left_semi"))
+    sets = shared.table(fetched.dropDuplicates(["name"]), "sets")
     central = Window.partitionBy("gid").orderBy(F.desc("seeks"), F.desc("degree"), "name")
     ranked = groups.join(wanted.select("name", "degree"), "name").withColumn("star", F.row_number().over(central)).where(F.col("star") <= STARS)
     stars = shared.kept(ranked.select("gid", "star", F.col("name").alias("centre")))
@@ -418,36 +490,53 @@ def joined(documents: DataFrame) -> DataFrame:
         else:
             mixed = now.groupBy("gid").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p < q").select("gid")
             done = stars.select("gid", F.col("centre").alias("name"))
-            now = now.join(mixed, "gid", "left_semi").join(done, ["gid", "name"], "left_anti")
+            now = shared.kept(now.join(mixed, "gid", "left_semi").join(done, ["gid", "name"], "left_anti"))
+            hot = now.groupBy("gid").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HOT_SETS).select("gid")
+            crowd = shared.kept(now.join(hot, "gid", "left_semi").select("name", "n", "part").distinct())
+            now = now.join(hot, "gid", "left_anti")
             other = now.where("seeks").select("gid", F.col("name").alias("b"), F.col("n").alias("m"), F.col("part").alias("q"))
         apart = (F.col("part") != F.col("q")) & (4 * F.least("n", "m") >= 3 * F.greatest("n", "m"))
         if step > STARS:
             apart &= ~F.col("seeks") | (F.col("name") < F.col("b"))
-        pairs = now.join(other, "gid").where(apart).select(F.least("name", "b").alias("a"), F.greatest("name", "b").alias("b")).distinct()
+        pairs = now.join(other, "gid").where(apart).select(F.least("name", "b").alias("a"), F.greatest("name", "b").alias("b"))
+        if step > STARS and not crowd.isEmpty():
+            pairs = pairs.unionByName(rare_pairs(crowd, sets))
+        pairs = pairs.distinct()
         new = shared.kept(verified(pairs, sets))
         links = new if links is None else links.unionAll(new)
         if not new.isEmpty():
             parts = components(links)
-    return _labelled(rows, parts)
+    return rows, parts
 
 
 def _labelled(rows: DataFrame, parts: DataFrame | None) -> DataFrame:
-    """Every row with the smallest doc_id of its component of sets."""
-    rows = rows.select("doc_id", "n", "name")
+    """Every row with its component of sets (``part``; NULL without a set) and that one's smallest doc_id (``_low``)."""
+    rows = rows.select("doc_id", "mark", "n", "name")
     if parts is None:
         rows = rows.withColumn("part", F.col("name"))
     else:
-        rows = rows.join(parts, F.col("name") == F.col("node"), "left").select("doc_id", "n", F.coalesce("component", "name").alias("part"))
+        rows = rows.join(parts, F.col("name") == F.col("node"), "left").select("doc_id", "mark", "n", F.coalesce("component", "name").alias("part"))
     low = rows.where("part IS NOT NULL").groupBy(F.col("part").alias("_part")).agg(F.min("doc_id").alias("_low"))
-    labelled = rows.join(low, F.col("part") == F.col("_part"), "left")
-    return labelled.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("_low", "doc_id").alias("component_id"))
+    return rows.join(low, F.col("part") == F.col("_part"), "left")
 
 
 def representatives(documents: DataFrame) -> DataFrame:
-    """One row of each component, all columns: that of its smallest doc_id (one of them if it repeats).
+    """One row of each component, all columns: that of its smallest doc_id (no doc_id last), of several texts with
+    this doc_id the one whose hash is smallest, of repeated rows one.
 
-    Rows without doc_id are kept.
+    NULL and empty texts have no set, are components of their own, and stay; repeated rows of one doc_id
+    and no text are one.
     """
-    alone = joined(documents).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    first = documents.join(alone, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return first.unionByName(documents.where("doc_id IS NULL")).select(documents.columns)
+    rows = shared.kept(_labelled(*_components(documents)))
+    known = rows.where("part IS NOT NULL")
+    ours = F.col("doc_id").eqNullSafe(F.col("_low"))
+    chosen = known.where(ours).groupBy("part", "doc_id").agg(F.min("mark").alias("mark")).select("doc_id", "mark")
+    empty = rows.where("part IS NULL").select("doc_id", "mark")
+    keep = chosen.unionByName(empty.where("doc_id IS NOT NULL")).distinct().select(F.col("doc_id").alias("_doc"), F.col("mark").alias("_by"))
+    mark = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    marked = documents.withColumns({"_ours": F.col("doc_id").cast("long"), "_mark": mark})
+    same = F.col("_ours").eqNullSafe(F.col("_doc")) & (F.col("_mark") == F.col("_by"))
+    first = marked.join(keep, same, "left_semi").dropDuplicates(["_ours", "_mark"]).select(documents.columns)
+    blank = empty.where("doc_id IS NULL").select("mark").distinct().select(F.col("mark").alias("_by"))
+    alone = marked.where("_ours IS NULL").join(blank, F.col("_mark") == F.col("_by"), "left_semi")
+    return first.unionByName(alone.select(documents.columns))
