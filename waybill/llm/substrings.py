@@ -246,6 +246,12 @@ def compared(texts: DataFrame, places: DataFrame, buckets: int) -> DataFrame:
     kind = pa.schema([("bucket", pa.int32()), ("gram", pa.int64()), ("doc", pa.int64()), ("mark", pa.int64()), ("at", pa.int64()), ("left", pa.int16()), ("bytes", pa.binary())])
 
     def meet(table: pa.Table) -> pa.Table:
+        # A row that repeats a document's id and text sends the same surroundings once more.
+        columns = [table[k].to_numpy() for k in ("gram", "doc", "mark", "at")]
+        order = np.lexsort(columns[::-1])
+        again = np.logical_and.reduce([c[order][1:] == c[order][:-1] for c in columns])
+        if again.any():
+            table = table.take(np.sort(order[np.append(True, ~again)]))
         gram, doc, mark, at, left = (table[k].to_numpy() for k in ("gram", "doc", "mark", "at", "left"))
         data, bounds = words.utf8(table["bytes"].cast(pa.large_binary()).combine_chunks())
         group = _anchor_groups(gram, data, bounds, left)
