@@ -153,7 +153,10 @@ def repaired(turns: DataFrame, costs: Costs = Costs(), block_turns: int = BLOCK_
         return pd.Series([block_roles(c, int(a), int(b), costs) for c, a, b in zip(codes, entry, leave)], dtype=object)
 
     wide = F.floor(F.col("_id") / FAN).alias("_up")
-    levels = [shared.kept(leaves.select("conv_id", F.col("_block").alias("_id"), "_codes", matrix("_codes").alias("_m")).select("*", wide))]
+    # The blocks of a conversation are numbered from 0 without gaps, that of NULL turns first, so levels end.
+    number = (F.row_number().over(Window.partitionBy("conv_id").orderBy("_block")) - 1).cast("long").alias("_id")
+    first = leaves.select("conv_id", "_block", number, "_codes", matrix("_codes").alias("_m"))
+    levels = [shared.kept(first.select("*", wide))]
     while levels[-1].select("conv_id", "_up").distinct().groupBy("conv_id").count().where("count > 1").limit(1).count():
         up = _gathered(levels[-1]).select("conv_id", F.col("_up").alias("_id"), multiplied("_parts").alias("_m"))
         levels.append(shared.kept(up.select("*", wide)))
@@ -177,7 +180,7 @@ def repaired(turns: DataFrame, costs: Costs = Costs(), block_turns: int = BLOCK_
         down = _gathered(below).alias("g").join(members.alias("m"), same).select("g.conv_id", "_members", "_parts", "_entry", "_leave", "_last")
     same = [F.col("l.conv_id").eqNullSafe(F.col("m.conv_id")), F.col("l._id") == F.col("m._id")]
     solved = levels[0].alias("l").join(members.alias("m"), same).select(
-        F.col("l.conv_id").alias("_conv"), F.col("l._id").alias("_b"), "_last", roles("_codes", "_entry", "_leave").alias("_roles")
+        F.col("l.conv_id").alias("_conv"), F.col("l._block").alias("_b"), "_last", roles("_codes", "_entry", "_leave").alias("_roles")
     )
     each = solved.select("_conv", "_b", "_last", F.size("_roles").alias("_size"), "_roles", F.explode(F.sequence(F.lit(1), F.size("_roles") - 1)).alias("_k")).select(
         "_conv",
