@@ -133,6 +133,7 @@ def contained(
     least: float = 0.75,
     k: int = 5,
     chunk_shingles: int = CHUNK_SHINGLES,
+    with_mark: bool = False,
 ) -> DataFrame:
     """Pairs of a document and an item of which it holds at least ``least`` of the distinct shingles.
 
@@ -140,9 +141,12 @@ def contained(
     scanned where they lie, without a shuffle. Items go to the executors in chunks of about
     ``chunk_shingles`` shingles, one scan per chunk, so what is sent never exceeds that bound.
     An item of fewer than ``k`` words is held by a document with these words in a row, an item
-    without words by none. NULL texts hold nothing; NULL ids and repeated rows are kept as they are.
+    without words by none. NULL texts hold nothing; NULL ids and repeated rows are kept as they are. ``with_mark``
+    adds a hash of the document's text as ``mark``, which tells texts of one doc_id apart.
     """
     spark = documents.sparkSession
+    schema = f"{PAIRS}, mark long" if with_mark else PAIRS
+    marked = [F.col("doc_id").cast("long"), "text", *([_mark().alias("mark")] if with_mark else [])]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = sum(len(s) for b in batches for _, s in _row_shingles(*words.utf8(b.column(0)), k))
@@ -166,7 +170,7 @@ def contained(
             items = sent.value
             for batch in batches:
                 data, offsets = words.utf8(batch.column(1))
-                found = {"doc_id": [], "item_id": [], "containment": [], "n_shingles": []}
+                found = {"doc_id": [], "item_id": [], "containment": [], "n_shingles": [], **({"mark": []} if with_mark else {})}
                 for a, b in words.slices(offsets):
                     part = data[offsets[a] : offsets[b]]
                     for r, i, share in search(part, offsets[a : b + 1] - offsets[a], items, least):
@@ -174,15 +178,27 @@ def contained(
                         found["item_id"].append(items.ids[i])
                         found["containment"].append(share)
                         found["n_shingles"].append(len(items.sets[i]))
+                        if with_mark:
+                            found["mark"].append(batch.column(2)[a + r].as_py())
                 if found["doc_id"]:
-                    yield pa.RecordBatch.from_pydict(found, pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("containment", pa.float64()), ("n_shingles", pa.int64())]))
+                    kinds = {"containment": pa.float64()}
+                    yield pa.RecordBatch.from_pydict(found, pa.schema([(c, kinds.get(c, pa.int64())) for c in found]))
 
-        part = documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(scan, PAIRS)
+        part = documents.select(*marked).mapInArrow(scan, schema)
         out = part if out is None else out.unionByName(part)
     return out
 
 
+def _mark():
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+
+
 def clean(documents: DataFrame, benchmark: DataFrame, least: float = 0.75) -> DataFrame:
-    """The documents, all columns, that hold no item; those without doc_id are kept."""
-    held = contained(documents, benchmark, least).select("doc_id").distinct()
-    return documents.join(held, "doc_id", "left_anti").select(documents.columns)
+    """The documents, all columns, whose text holds no item.
+
+    A row is judged by its own text: of rows that share a doc_id, or have none, those with an item go and
+    the others stay.
+    """
+    held = contained(documents, benchmark, least, with_mark=True).select(F.col("doc_id").alias("_held"), F.col("mark").alias("_by")).distinct()
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_held")) & (_mark() == F.col("_by"))
+    return documents.join(held, same, "left_anti").select(documents.columns)

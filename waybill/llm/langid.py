@@ -226,19 +226,22 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
 
 
 def identified(documents: DataFrame, model: Model) -> DataFrame:
-    """The documents, all columns, whose text is of some language; texts without a letter are not."""
+    """The documents, all columns, whose text has a letter, with the predicted language as ``lang``.
+
+    NULL and empty texts and those without a letter are of no language and go. Without a learned language
+    the others stay as they are. Repeated rows and NULL ids are kept.
+    """
+    written = documents.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    if not model.groups or "lang" not in documents.columns:
+        return written
     sent = documents.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("string")
     def language(text: pd.Series) -> pd.Series:
         data, offsets = words.utf8(pa.array(text, pa.string()))
         names = np.full(len(text), NONE, object)
-        if sent.value.groups:
-            for a, b in words.slices(offsets):
-                names[a:b], _ = decide(sent.value, margins(sent.value, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]))
+        for a, b in words.slices(offsets):
+            names[a:b], _ = decide(sent.value, margins(sent.value, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]))
         return pd.Series(names)
 
-    letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    if not model.groups:
-        return documents.where(F.lit(False))
-    return documents.where(letter).where(language("text") != NONE)
+    return written.withColumn("lang", language("text"))
