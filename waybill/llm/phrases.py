@@ -7,10 +7,11 @@ the chunk in which it begins, so each occurrence is counted once, also where it
 Spark counts how often each distinct chunk was parsed (hash aggregates with map-side combine), and all
 later work reads the distinct chunks with these frequencies as weights.
 
-Counts are exact: grouping is by the words themselves. Words and pairs are counted first. A phrase of
-three or more words can only reach the wanted count if all its pairs do, so phrases with a rarer pair
-are not emitted at all. The frequent pairs are held in a bitmap of fixed size (``BITS``), which may let a
-rare phrase through to be counted and dropped, but never holds a frequent one back.
+Counts are exact: grouping is by the words themselves. Words are counted first, then pairs, then longer
+phrases. A phrase can only reach the wanted count if its words and pairs do, so pairs with a rarer word
+and longer phrases with a rarer pair are not emitted at all. What is frequent is held in a bitmap of fixed
+size (``BITS``), which may let a rare phrase through to be counted and dropped, but never holds a frequent
+one back.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from waybill.llm import shared, words
 LONGEST = 4
 #: One window of words in so many triggers a cut.
 TRIGGER = 16
-#: Bits of the map of frequent pairs (8 MiB), whatever the input's size; a power of two.
+#: Bits of the map of frequent words or pairs (8 MiB), whatever the input's size; a power of two.
 BITS = 1 << 26
 BLOCK_BITS = 1 << 15
 SLICE_BYTES = 2 << 20
@@ -165,11 +166,11 @@ class Chunks:
     def strings(self, begin: np.ndarray, size: int) -> pa.Array:
         return gathered(self.data, self.start[begin], self.end[begin + size - 1])
 
-    def bits(self, seeds: np.ndarray, bits: int) -> np.ndarray:
-        """The place of every pair of neighbouring words in the bitmap."""
-        begin = np.flatnonzero(self.left >= 2)
+    def bits(self, seeds: np.ndarray, bits: int, unit: int) -> np.ndarray:
+        """The place in the bitmap of the ``unit`` words from every word on."""
+        begin = np.flatnonzero(self.left >= unit)
         out = np.zeros(len(self.start), np.int64)
-        hashes = words.span_hash(words.prefix_hash(self.data), self.start[begin], self.end[begin + 1])
+        hashes = words.span_hash(words.prefix_hash(self.data), self.start[begin], self.end[begin + unit - 1])
         out[begin] = (words.mixed(hashes ^ seeds[self.row[begin]]) & np.uint64(bits - 1)).astype(np.int64)
         return out
 
@@ -217,15 +218,15 @@ def _added(parsed: DataFrame) -> DataFrame:
     return parsed.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
 
 
-def short_counts(chunks_: DataFrame, longest: int = LONGEST) -> DataFrame:
-    """Counts of all words and pairs; rows of size 0 hold a language's number of words."""
+def word_counts(chunks_: DataFrame, longest: int = LONGEST) -> DataFrame:
+    """Counts of all words; rows of size 0 hold a language's number of words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, part in _parts(batches, longest):
-            one, two = part.phrases(1), part.phrases(2)
-            yield _summed(lang, part, [(1, one), (2, two)])
+            begin = part.phrases(1)
+            yield _summed(lang, part, [(1, begin)])
             langs = lang.dictionary_encode()
-            total = np.bincount(langs.indices.to_numpy()[part.row[one]], part.weight[one], len(langs.dictionary))
+            total = np.bincount(langs.indices.to_numpy()[part.row[begin]], part.weight[begin], len(langs.dictionary))
             yield pa.RecordBatch.from_arrays(
                 [langs.dictionary, pa.array(np.zeros(len(total), np.int32)), pa.array([""] * len(total)), pa.array(total.astype(np.int64))],
                 ["lang", "size", "phrase", "n"],
@@ -234,8 +235,8 @@ def short_counts(chunks_: DataFrame, longest: int = LONGEST) -> DataFrame:
     return _added(chunks_.mapInArrow(run, COUNTED))
 
 
-def pair_map(pairs: DataFrame, bits: int = BITS) -> np.ndarray:
-    """The bitmap of pairs as bytes: blocks of it are built by Spark, at most ``bits`` bits reach the driver."""
+def phrase_map(phrases: DataFrame, bits: int = BITS) -> np.ndarray:
+    """The bitmap of phrases as bytes: blocks of it are built by Spark, at most ``bits`` bits reach the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -244,7 +245,7 @@ def pair_map(pairs: DataFrame, bits: int = BITS) -> np.ndarray:
             place = (words.mixed(hashes ^ _seeds(batch.column(0))) & np.uint64(bits - 1)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(place // BLOCK_BITS), pa.array(place % BLOCK_BITS)], ["block", "bit"])
 
-    placed = pairs.select("lang", "phrase").mapInArrow(run, "block long, bit long")
+    placed = phrases.select("lang", "phrase").mapInArrow(run, "block long, bit long")
     blocks = placed.groupBy("block").agg(F.bitmap_construct_agg("bit").alias("map")).collect()
     out = np.zeros(max(bits, BLOCK_BITS) // 8, np.uint8)
     for r in blocks:
@@ -252,20 +253,21 @@ def pair_map(pairs: DataFrame, bits: int = BITS) -> np.ndarray:
     return out
 
 
-def long_counts(chunks_: DataFrame, frequent: np.ndarray, longest: int = LONGEST) -> DataFrame:
-    """Counts of the phrases of three and more words all of whose pairs are in the bitmap."""
+def pruned_counts(chunks_: DataFrame, frequent: np.ndarray, unit: int, sizes: range, longest: int = LONGEST) -> DataFrame:
+    """Counts of the phrases of ``sizes`` words whose runs of ``unit`` words are all in the bitmap."""
     sent, bits = chunks_.sparkSession.sparkContext.broadcast(frequent), len(frequent) * 8
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = sent.value
         for lang, part in _parts(batches, longest):
-            place = part.bits(_seeds(lang), bits)
-            good = (held[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool) & (part.left >= 2)
-            found, run_ = [], good
-            for size in range(3, longest + 1):
-                run_ = run_[: len(good) - size + 2] & good[size - 2 :]
-                begin = part.phrases(size)
-                found.append((size, begin[run_[begin]]))
+            place = part.bits(_seeds(lang), bits, unit)
+            good = (held[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool) & (part.left >= unit)
+            found, all_good = [], good
+            for size in range(unit + 1, sizes.stop):
+                all_good = all_good[: max(0, len(good) - size + unit)] & good[size - unit :]
+                if size in sizes:
+                    begin = part.phrases(size)
+                    found.append((size, begin[all_good[begin]]))
             if any(len(begin) for _, begin in found):
                 yield _summed(lang, part, found)
 
@@ -278,12 +280,12 @@ def frequent_phrases(documents: DataFrame, least: int = 30, longest: int = LONGE
     ``lang, size, phrase, n``; rows of size 0 (phrase empty) hold the number of words of the language.
     """
     parsed = shared.table(dictionary(documents, longest, trigger), "chunks")
-    enough = (F.col("n") >= least) | (F.col("size") == 0)
-    short = shared.table(short_counts(parsed, longest).where(enough), "short")
-    if longest < 3:
-        return short
-    found = pair_map(short.where(F.col("size") == 2), bits)
-    return shared.table(short.unionByName(long_counts(parsed, found, longest).where(enough)), "phrases")
+    counted = shared.table(word_counts(parsed, longest).where((F.col("n") >= least) | (F.col("size") == 0)), "words")
+    for unit, sizes in ((1, range(2, 3)), (2, range(3, longest + 1))):
+        frequent = phrase_map(counted.where(F.col("size") == unit), bits)
+        longer = pruned_counts(parsed, frequent, unit, sizes, longest).where(F.col("n") >= least)
+        counted = shared.table(counted.unionByName(longer), "phrases")
+    return counted
 
 
 def first_per_group(df: DataFrame, key: str, order: list, limit: int, rows: int = RANK_ROWS) -> DataFrame:
