@@ -13,8 +13,10 @@ theirs. If even this is too little, another hash deals the set's band again.
 Candidates are groups of sets under one key. No group is turned into all its pairs: its members are
 verified against a few central ones, components are formed, and only pairs of members of different
 components are left to be verified. In a group of more than ``HOT_SETS`` of these, such as sets that share
-a common passage and little else, a pair must also share one of the rarest shingles of each: of two linked
-sets, the quarter of either that stands first in any order of all shingles has one in common with the other's.
+a common passage and little else, a pair must also share one of the rarest shingles of each: in any order of
+all shingles, the first that two linked sets have in common stands in the first seventh of the smaller and
+the first quarter of the larger set, and from there on both still hold all that they must share. The sets
+of such a list are first verified against its smallest one.
 Verification counts the shingles, 64-bit hashes, of whole sets.
 """
 
@@ -225,11 +227,13 @@ def _batches(rows, function):
             yield from function(batch, a, b, sets_of(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]))
 
 
-def rare_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs ``a < b`` of the sets ``members`` that share a shingle among the rarest quarter of both.
+def rare_lists(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """``shingle``, ``name``, ``n``, ``place`` and ``head``: the rarest quarter of the shingles of each of ``members``.
 
+    ``place`` counts from 0 in the order of rarity. A set whose partner is as large or larger shares the
+    rarest common shingle within its first seventh, ``head``, and the partner within its first quarter.
     Rarity is the count of a shingle's place in a table of fixed size; any order of the shingles finds all
-    linked pairs, and one by rarity keeps the lists short.
+    linked pairs, and one by rarity keeps the lists short. Shingles that one set has, or none as head, are left out.
     """
     chosen = sets.join(members.select("name").distinct(), "name", "left_semi").select("name", "values")
 
@@ -251,25 +255,52 @@ def rare_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
 
     def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            owner, shingles = [], []
+            owner, shingles, place, head = [], [], [], []
+            sizes = np.zeros(batch.num_rows, np.int64)
             for row, values in enumerate(batch.column(1)):
                 values = np.frombuffer(values.as_buffer(), np.uint64)
-                order = np.lexsort((values, sent.value[places(values)]))
-                first = values[order[: len(values) - -(-3 * len(values) // 4) + 1]]
+                n = sizes[row] = len(values)
+                first = np.lexsort((values, sent.value[places(values)]))[: n - -(-3 * n // 4) + 1]
                 owner.append(np.full(len(first), row))
-                shingles.append(first)
+                shingles.append(values[first])
+                place.append(np.arange(len(first)))
+                head.append(np.arange(len(first)) <= n - -(-6 * n // 7))
             if owner:
+                owner = np.concatenate(owner)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(shingles).view(np.int64)), batch.column(0).take(pa.array(np.concatenate(owner)))], ["shingle", "name"]
+                    [
+                        pa.array(np.concatenate(shingles).view(np.int64)),
+                        batch.column(0).take(pa.array(owner)),
+                        pa.array(sizes[owner]),
+                        pa.array(np.concatenate(place)),
+                        pa.array(np.concatenate(head)),
+                    ],
+                    ["shingle", "name", "n", "place", "head"],
                 )
 
-    entries = shared.kept(chosen.mapInArrow(rarest, "shingle long, name long"))
-    live = entries.groupBy("shingle").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("shingle")
-    facts = members.select("name", "n", "part").distinct()
-    lists = entries.join(live, "shingle").join(facts, "name")
-    other = lists.select("shingle", F.col("name").alias("b"), F.col("n").alias("m"), F.col("part").alias("q"))
-    near = (F.col("name") < F.col("b")) & (F.col("part") != F.col("q")) & (4 * F.least("n", "m") >= 3 * F.greatest("n", "m"))
-    return lists.join(other, "shingle").where(near).select(F.col("name").alias("a"), "b")
+    entries = shared.kept(chosen.mapInArrow(rarest, "shingle long, name long, n long, place long, head boolean"))
+    live = entries.groupBy("shingle").agg(F.count(F.lit(1)).alias("_n"), F.max("head").alias("_head")).where("_n > 1 AND _head").select("shingle")
+    return shared.kept(entries.join(live, "shingle"))
+
+
+def rare_pairs(lists: DataFrame, parts: DataFrame | None, central: bool) -> DataFrame:
+    """Pairs ``a < b`` of sets in different components that may be linked, from the lists of their rarest shingles.
+
+    With ``central`` only those with the smallest set of each list, as many as there are entries. Where the
+    rarest common shingle stands, what is left of either set must hold all that the two have to share; pairs
+    that meet at a shingle where it cannot are left out there, and a linked pair meets at its rarest one.
+    """
+    if parts is None:
+        lists = lists.withColumn("part", F.col("name"))
+    else:
+        lists = lists.join(parts, F.col("name") == F.col("node"), "left").select("shingle", "name", "n", "place", "head", F.coalesce("component", "name").alias("part"))
+    small = lists.where("head").select("shingle", F.struct(F.col("n").alias("m"), F.col("name").alias("b"), F.col("place").alias("at"), F.col("part").alias("q")).alias("_small"))
+    if central:
+        small = small.groupBy("shingle").agg(F.min("_small").alias("_small"))
+    small = small.select("shingle", "_small.*")
+    order = (F.col("m") < F.col("n")) | ((F.col("m") == F.col("n")) & (F.col("b") < F.col("name")))
+    rest = 7 * F.least(F.col("n") - F.col("place"), F.col("m") - F.col("at")) >= 3 * (F.col("n") + F.col("m"))
+    return lists.join(small, "shingle").where((F.col("part") != F.col("q")) & order & rest).select(F.least("name", "b").alias("a"), F.greatest("name", "b").alias("b"))
 
 
 def named(documents: DataFrame) -> DataFrame:
@@ -492,7 +523,7 @@ def _components(documents: DataFrame) -> tuple[DataFrame, DataFrame | None]:
             done = stars.select("gid", F.col("centre").alias("name"))
             now = shared.kept(now.join(mixed, "gid", "left_semi").join(done, ["gid", "name"], "left_anti"))
             hot = now.groupBy("gid").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HOT_SETS).select("gid")
-            crowd = shared.kept(now.join(hot, "gid", "left_semi").select("name", "n", "part").distinct())
+            crowd = shared.kept(now.join(hot, "gid", "left_semi").select("name").distinct())
             now = now.join(hot, "gid", "left_anti")
             other = now.where("seeks").select("gid", F.col("name").alias("b"), F.col("n").alias("m"), F.col("part").alias("q"))
         apart = (F.col("part") != F.col("q")) & (4 * F.least("n", "m") >= 3 * F.greatest("n", "m"))
@@ -500,7 +531,12 @@ def _components(documents: DataFrame) -> tuple[DataFrame, DataFrame | None]:
             apart &= ~F.col("seeks") | (F.col("name") < F.col("b"))
         pairs = now.join(other, "gid").where(apart).select(F.least("name", "b").alias("a"), F.greatest("name", "b").alias("b"))
         if step > STARS and not crowd.isEmpty():
-            pairs = pairs.unionByName(rare_pairs(crowd, sets))
+            lists = rare_lists(crowd, sets)
+            near = shared.kept(verified(rare_pairs(lists, parts, True).distinct(), sets))
+            if not near.isEmpty():
+                links = links.unionAll(near)
+                parts = components(links)
+            pairs = pairs.unionByName(rare_pairs(lists, parts, False))
         pairs = pairs.distinct()
         new = shared.kept(verified(pairs, sets))
         links = new if links is None else links.unionAll(new)
