@@ -218,8 +218,11 @@ def located(texts: DataFrame, buckets: int) -> DataFrame:
     return texts.mapInArrow(scan, "bucket int, blob binary").groupBy("bucket").applyInArrow(meet, schema)
 
 
-def compared(texts: DataFrame, places: DataFrame, buckets: int) -> DataFrame:
-    """Covered spans among the surroundings that share an anchor and differ."""
+def compared(rows: DataFrame, places: DataFrame, buckets: int) -> DataFrame:
+    """Covered spans among the surroundings that share an anchor and differ.
+
+    All columns go to the function, ``row`` unused: the shuffle is then the one that the caller's join needs.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -285,7 +288,7 @@ def compared(texts: DataFrame, places: DataFrame, buckets: int) -> DataFrame:
         .groupBy("doc", "mark")
         .agg(F.flatten(F.collect_list("asks")).alias("asks"), F.flatten(F.collect_list("grams")).alias("grams"))
     )
-    sent = texts.join(asks, ["doc", "mark"]).select("doc", "mark", "text", "asks", "grams")
+    sent = rows.join(asks, ["doc", "mark"]).select("doc", "mark", "text", "asks", "grams", "row")
     cuts = sent.mapInArrow(cut, "bucket int, gram long, doc long, mark long, at long, left short, bytes binary")
     return cuts.groupBy("bucket").applyInArrow(meet, "doc long, mark long, starts array<long>, ends array<long>")
 
@@ -322,36 +325,36 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts[new], ends[np.append(np.flatnonzero(new)[1:] - 1, len(ends) - 1)]
 
 
-def covered(texts: DataFrame) -> DataFrame:
-    """Lists of covered spans (``starts``, ``ends``) of the rows ``doc``, ``mark``, ``text`` that have any."""
+def covered(rows: DataFrame) -> DataFrame:
+    """Lists of covered spans (``starts``, ``ends``) of the ``rows`` (see ``_keyed``) that have any."""
+    texts = rows.select("doc", "mark", F.coalesce("text", F.lit("")).alias("text"))
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     places = shared.kept(located(texts, max(12, -(-total // BUCKET_BYTES))))
     asked = places.agg(F.sum(F.size("asks"))).first()[0] or 0
     return (
         places.where(F.size("starts") > 0)
         .select("doc", "mark", "starts", "ends")
-        .unionByName(compared(texts, places, max(12, asked // BUCKET_ASKS)))
+        .unionByName(compared(rows, places, max(12, asked // BUCKET_ASKS)))
         .groupBy("doc", "mark")
         .agg(F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends"))
     )
 
 
 def _keyed(documents: DataFrame) -> DataFrame:
-    """All columns, with the document's place in the order as ``_doc`` and ``_mark``."""
-    return documents.withColumns(
-        {
-            "_doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)),
-            "_mark": F.xxhash64(F.coalesce("text", F.lit(""))),
-            "_text": F.coalesce("text", F.lit("")),
-        }
+    """``text``, the document's place in the order as ``doc`` and ``mark``, and all other columns in ``row``."""
+    return documents.select(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("mark"),
+        "text",
+        F.struct(*[c for c in documents.columns if c != "text"]).alias("row"),
     )
 
 
 def _with_spans(documents: DataFrame) -> DataFrame:
+    """The keyed rows with their spans. Here and in ``compared`` all columns are dealt by document, so that
+    Spark shuffles the texts once and reads them twice."""
     rows = _keyed(documents)
-    spans = covered(rows.select(F.col("_doc").alias("doc"), F.col("_mark").alias("mark"), F.col("_text").alias("text")))
-    spans = spans.select(F.col("doc").alias("_doc"), F.col("mark").alias("_mark"), F.col("starts").alias("_starts"), F.col("ends").alias("_ends"))
-    return rows.join(spans, ["_doc", "_mark"], "left")
+    return rows.join(covered(rows), ["doc", "mark"], "left")
 
 
 def _cut(raw: bytes, starts, ends) -> tuple[bytes, list[tuple[int, int]]]:
@@ -372,7 +375,7 @@ def removed(documents: DataFrame) -> DataFrame:
     and get the same result; rows that repeat a doc_id with another text are ordered by a hash of it.
     Other columns are ignored.
     """
-    rows = _with_spans(documents.select("doc_id", "text")).select(F.col("doc_id").cast("long"), "_text", "_starts", "_ends")
+    rows = _with_spans(documents.select("doc_id", "text")).select(F.col("row.doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), "starts", "ends")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -414,8 +417,10 @@ def without_repeats(documents: DataFrame) -> DataFrame:
         return pd.Series([_cut(t.encode(), a, b)[0].decode(errors="ignore") for t, a, b in zip(text, starts, ends)], dtype=object)
 
     rows = _with_spans(documents)
-    changed = F.col("_starts").isNotNull()
-    out = rows.withColumn("text", F.when(changed, kept("_text", "_starts", "_ends")).otherwise(F.col("text")))
-    if "n_chars" in documents.columns:
-        out = out.withColumn("n_chars", F.when(changed, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(documents.columns)
+    changed = F.col("starts").isNotNull()
+    text = F.when(changed, kept(F.coalesce("text", F.lit("")), "starts", "ends")).otherwise(F.col("text"))
+    out = rows.select(text.alias("text"), changed.alias("changed"), "row")
+    columns = {c: F.col("row").getField(c) for c in documents.columns if c != "text"} | {"text": F.col("text")}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.when(F.col("changed"), F.char_length("text").cast("long")).otherwise(columns["n_chars"])
+    return out.select(*[columns[c].alias(c) for c in documents.columns])
