@@ -40,6 +40,8 @@ STARS = 2
 HOT_SETS = 32
 #: Places of the table of approximate shingle counts that orders shingles by rarity.
 RARITY = 1 << 18
+#: Shingles that one task counts into such a table, on average.
+COUNTED = 2_000_000
 _SEGMENT = np.uint64(0x2545F4914F6CDD1D)
 _BAND = np.uint64(0x9FB21C651E98DF25)
 _KIND = np.uint64(0xA0761D6478BD642F)
@@ -228,14 +230,15 @@ def _batches(rows, function):
 
 
 def rare_lists(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """``shingle``, ``name``, ``n``, ``place`` and ``head``: the rarest quarter of the shingles of each of ``members``.
+    """``shingle``, ``name``, ``n``, ``place`` and ``head``: the rarest quarter of the shingles of each of ``members`` (``name``, ``n``).
 
     ``place`` counts from 0 in the order of rarity. A set whose partner is as large or larger shares the
     rarest common shingle within its first seventh, ``head``, and the partner within its first quarter.
     Rarity is the count of a shingle's place in a table of fixed size; any order of the shingles finds all
     linked pairs, and one by rarity keeps the lists short. Shingles that one set has, or none as head, are left out.
     """
-    chosen = sets.join(members.select("name").distinct(), "name", "left_semi").select("name", "values")
+    chosen = sets.join(members.select("name"), "name", "left_semi").select("name", "values")
+    parts = -(-max(1, members.agg(F.sum("n")).first()[0] or 0) // COUNTED)
 
     def places(values: np.ndarray) -> np.ndarray:
         return (words.mixed(values) & np.uint64(RARITY - 1)).astype(np.int64)
@@ -249,7 +252,7 @@ def rare_lists(members: DataFrame, sets: DataFrame) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], ["place", "n"])
 
     rarity = np.zeros(RARITY, np.int64)
-    counted = chosen.mapInArrow(count, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    counted = chosen.coalesce(parts).mapInArrow(count, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
     rarity[counted["place"].to_numpy()] = counted["n"].to_numpy()
     sent = sets.sparkSession.sparkContext.broadcast(rarity)
 
@@ -523,7 +526,7 @@ def _components(documents: DataFrame) -> tuple[DataFrame, DataFrame | None]:
             done = stars.select("gid", F.col("centre").alias("name"))
             now = shared.kept(now.join(mixed, "gid", "left_semi").join(done, ["gid", "name"], "left_anti"))
             hot = now.groupBy("gid").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HOT_SETS).select("gid")
-            crowd = shared.kept(now.join(hot, "gid", "left_semi").select("name").distinct())
+            crowd = shared.kept(now.join(hot, "gid", "left_semi").select("name", "n").distinct())
             now = now.join(hot, "gid", "left_anti")
             other = now.where("seeks").select("gid", F.col("name").alias("b"), F.col("n").alias("m"), F.col("part").alias("q"))
         apart = (F.col("part") != F.col("q")) & (4 * F.least("n", "m") >= 3 * F.greatest("n", "m"))
