@@ -41,7 +41,7 @@ HOT_SETS = 32
 #: Places of the table of approximate shingle counts that orders shingles by rarity.
 RARITY = 1 << 18
 #: Shingles that one task counts into such a table, on average.
-COUNTED = 2_000_000
+COUNTED = 500_000
 _SEGMENT = np.uint64(0x2545F4914F6CDD1D)
 _BAND = np.uint64(0x9FB21C651E98DF25)
 _KIND = np.uint64(0xA0761D6478BD642F)
