@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from waybill import catalog
 from waybill.catalog.views import FREIGHT_TYPES, MILESTONES
+from waybill.operators import joins
 from waybill.plans import attach, bookings, changes, cohorts, exposure, invoicing, milestones, otp
 from waybill.sources import calendar
 
@@ -452,3 +453,66 @@ def test_changes_per_key(frame):
     got = [tuple(r) for r in changes.changes_per_key(df).collect()]
     assert got == [(1, 3, 0.6), (2, 2, 0.4)]
     assert [tuple(r) for r in changes.changes_per_key(df, top=1).collect()] == [(1, 3, 0.6)]
+
+
+def _quotes(frame):
+    """Quotes of shipments and clients that miss now and then, times of which one comes twice, and one client's hot pair."""
+    rows = [
+        (1, 7, 1, DAY.date(), True, 5.0, "Air"),
+        (2, 7, 1, None, False, 3.0, "Ocean"),
+        (3, 7, None, DAY.date(), False, 9.0, "Air"),
+        (4, None, 1, DAY.date() + dt.timedelta(days=1), False, 2.0, "Air"),
+        (5, None, None, None, True, 1.0, "Ocean"),
+        (None, 8, 2, None, False, 4.0, "Ocean"),
+    ]
+    schema = "quote_id long, shipment_id long, client_id long, quote_accepted_date date, is_live boolean, cost double, mode string"
+    quotes = frame(schema, rows).selectExpr(
+        "*",
+        "if(quote_id = 1, 'LCL', 'Not LCL') AS lcl",
+        "quote_id = 2 AS acceptor_is_staff",
+        "cost AS chargeable_weight",
+        "cost AS teu",
+        "cost AS volume",
+        "int(cost) AS transit_time_max",
+        "int(cost) AS transit_time_min",
+        "timestamp_ntz'2020-01-01 00:00:00' AS requested_at",
+        "timestamp_ntz'2020-01-01 00:00:00' + make_dt_interval(0, int(cost)) AS submitted_at",
+    )
+    items = frame("quote_id long, template_id int", [(1, 1), (1, 2), (2, 2), (None, 1)])
+    times = frame("quote_id long, origin_days int, destination_days int, port_to_port_days int", [(1, 4, 1, 1), (1, 6, 1, 1), (3, 8, 2, None), (None, 99, 99, 99)])
+    booked = frame("shipment_id long, client_id long", [(7, 1), (7, 1), (None, None), (7, None)])
+    return quotes, items, times, booked, ("autobook", "staff", "client")
+
+
+@pytest.mark.parametrize("hot", [1, 1_000_000])
+def test_quote_enrichment_of_missing_keys_and_repeated_times(frame, rows, monkeypatch, hot):
+    monkeypatch.setattr(joins.spread_join, "__defaults__", (*joins.spread_join.__defaults__[:-1], hot))
+    got = otp.quote_enrichment(*_quotes(frame))
+    day, next_day = DAY.date(), DAY.date() + dt.timedelta(days=1)
+    columns = ["quote_id", "shipment_id", "client_id", "origin_days", "is_air_quote", "acceptor", "mode_blended", "won_cost", "lost_cost", "total_cost"]
+    columns += ["quoted_origin_days", "quoted_port_to_port_days", "hours_to_share", "first_air_acceptance", "last_acceptance"]
+    of_7 = (9.0, 3.0, 12.0, 8, 1, 3)
+    assert rows(got, *columns) == sorted(
+        [
+            (1, 7, 1, 4, True, "autobook", "Air", *of_7, day, next_day),
+            (1, 7, 1, 6, True, "autobook", "Air", *of_7, day, next_day),
+            (2, 7, 1, None, False, "autobook", "Ocean FCL", *of_7, day, next_day),
+            (3, 7, None, 8, None, "client", "Air", *of_7, None, None),
+            (4, None, 1, None, None, "client", "Air", None, None, 0.0, None, None, None, day, next_day),
+            (5, None, None, None, None, "client", "Ocean FCL", None, None, 0.0, None, None, None, None, None),
+            (None, 8, 2, None, None, "client", "Ocean FCL", None, 4.0, 4.0, None, None, 4, None, None),
+        ],
+        key=repr,
+    )
+
+
+def test_quote_enrichment_joins_quotes_to_group_values_once(frame):
+    plan = otp.quote_enrichment(*_quotes(frame))._jdf.queryExecution().analyzed()
+    found, nodes = [], [plan]
+    while nodes:
+        node = nodes.pop()
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+        if node.nodeName() == "Join":
+            sides = [node.left().output().mkString(" "), node.right().output().mkString(" ")]
+            found.append(all("_salt" in s for s in sides) and any("quote_id" in s for s in sides))
+    assert sum(found) == 1

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from waybill.catalog import views as v
 from waybill.catalog.registry import publish, query, r
+from waybill.operators.staging import staged
 from waybill.plans import attach, bookings, changes, cohorts, exposure, invoicing, milestones, otp
 from waybill.sources import calendar
 
@@ -244,9 +245,13 @@ SELECT quote_id, shipment_id, client_id,
 FROM q WINDOW s AS (PARTITION BY shipment_id), c AS (PARTITION BY client_id)
 """)
 def quote_enrichment(t):
-    lines = v.quote_lines(t)
-    number = "l_orderkey * 10 + l_linenumber AS quote_id"
-    quotes = lines.join(t.orders, F.col("o_orderkey") == F.col("l_orderkey")).selectExpr(
+    # Quotes, items and times are all read from these rows, so lines and orders are joined once and kept.
+    orders = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    lines = staged(
+        v.quote_lines(t).join(orders, F.col("o_orderkey") == F.col("l_orderkey")).drop("l_orderkey", "tax")
+    )
+    number = "o_orderkey * 10 + l_linenumber AS quote_id"
+    quotes = lines.selectExpr(
         number,
         "o_orderkey AS shipment_id",
         "o_custkey AS client_id",
@@ -265,8 +270,10 @@ def quote_enrichment(t):
         "shipped_at + make_dt_interval(0, l_linenumber) AS submitted_at",
     )
     items = lines.selectExpr(number, "CASE WHEN flag = 'A' THEN 1 ELSE 2 END AS template_id")
-    times = lines.selectExpr(
-        number,
+    # An order that comes twice repeats its quotes, not their times, which are dealt by the key of their join.
+    once = lines.selectExpr(number, "o_orderkey", "l_linenumber").repartition("quote_id").distinct()
+    times = once.selectExpr(
+        "quote_id",
         "l_linenumber * 2 AS origin_days",
         "l_linenumber AS destination_days",
         "l_linenumber AS port_to_port_days",

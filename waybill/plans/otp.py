@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from waybill.functions import boundary_diff, quarter_start, same_text, truthy
 from waybill.operators.frames import group_totals
 from waybill.operators.joins import spread_join
-from waybill.operators.staging import staged
 
 PORT_DOOR, PORT_PORT = "Port to Door", "Port to Port"
 DOOR_PORT, DOOR_DOOR = "Door to Port", "Door to Door"
@@ -367,16 +366,19 @@ def quote_enrichment(
     Adds won and lost cost, the acceptor category (``labels``: autobooked,
     impersonated, client), the blended mode, the air flag of the quote, and
     maxima / minima over the shipment or client. Whole-group values are aggregated
-    and joined back, so that a hot shipment or client is spread over tasks.
+    and brought together per pair of shipment and client, so that the quotes are
+    joined to all of them at once; a hot shipment, client or pair is spread over tasks.
+    ``quotes`` and ``times`` are read several times and should be stored tables.
     """
     accepted = F.col("quote_accepted_date")
     cost = F.col("cost")
+    pair = ["shipment_id", "client_id"]
+    days = ["origin_days", "destination_days", "port_to_port_days"]
     air = items.groupBy("quote_id").agg((F.min("template_id") == 1).alias("is_air_quote"))
-    legs = times.select("quote_id", "origin_days", "destination_days", "port_to_port_days")
-    # Read by three aggregates and the final joins, so it is computed once and kept.
-    base = staged(quotes.join(legs, "quote_id", "left").join(air, "quote_id", "left"))
+    legs = times.select("quote_id", *days)
+    # Maxima and minima need no joined rows; the days of legs are joined for theirs alone.
     by_shipment = group_totals(
-        base,
+        quotes,
         ["shipment_id"],
         {
             "won_cost": F.max(F.when(accepted.isNotNull(), cost)),
@@ -386,30 +388,42 @@ def quote_enrichment(
             "quoted_volume": F.max("volume"),
             "quoted_transit_max": F.max("transit_time_max"),
             "quoted_transit_min": F.min("transit_time_min"),
-            "quoted_origin_days": F.max("origin_days"),
-            "quoted_destination_days": F.max("destination_days"),
-            "quoted_port_to_port_days": F.max("port_to_port_days"),
             "hours_to_share": F.min(boundary_diff("hour", "requested_at", "submitted_at")),
         },
     )
+    longest = (
+        quotes.select("quote_id", "shipment_id")
+        .join(legs, "quote_id")
+        .groupBy("shipment_id")
+        .agg(*[F.max(d).alias(f"quoted_{d}") for d in days])
+    )
     by_client = group_totals(
-        base,
+        quotes,
         ["client_id"],
         {
             "first_air_acceptance": F.min(F.when(F.col("mode") == "Air", accepted)),
             "last_acceptance": F.max(accepted),
         },
     )
-    pair = ["shipment_id", "client_id"]
-    by_pair = group_totals(base, pair, {"_autobooked": F.first(F.lit(True))}).join(
-        autobooked.select(*pair), pair, "left_semi"
+    by_pair = quotes.groupBy(*pair).agg(F.count(F.lit(1)).alias("_rows"))
+    booked = autobooked.select(*pair).distinct().withColumn("_autobooked", F.lit(True))
+    figures = by_pair.drop("_rows").join(booked, pair, "left")
+    # Each table knows how many rows its keys have at most, so nothing else is read to find hot keys.
+    figures = spread_join(figures, by_client, ["client_id"], ["shipment_id"], "left", rows="_rows")
+    shipments = by_shipment.join(longest, "shipment_id", "left")
+    figures = spread_join(
+        figures, shipments.drop("_rows"), ["shipment_id"], ["client_id"], "left", counts=by_shipment.select("shipment_id", "_rows")
     )
-    # Each table knows how many rows its keys have, so nothing is read again to find hot keys.
-    flagged = base
-    for keys, table in ((["shipment_id"], by_shipment), (["client_id"], by_client), (pair, by_pair)):
-        flagged = spread_join(
-            flagged, table, keys, spread_by=["quote_id"], how="left", rows="_rows"
-        )
+
+    def keyed(df: DataFrame) -> DataFrame:
+        """The pair as one column, in which a missing shipment or client equals another."""
+        return df.withColumn("_pair", F.struct(*pair)).drop(*pair)
+
+    # Days of legs were joined by times; those of one quote may have several rows.
+    base = quotes.join(legs, "quote_id", "left").join(air, "quote_id", "left")
+    flagged = spread_join(
+        keyed(base), keyed(figures), ["_pair"], spread_by=["quote_id"], how="left", counts=keyed(by_pair)
+    ).select(*[c for c in base.columns if c not in pair], *[F.col(f"_pair.{c}").alias(c) for c in pair], *[c for c in figures.columns if c not in pair])
     autobook, impersonated, client = labels
     return flagged.withColumns(
         {
