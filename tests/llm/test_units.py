@@ -1,7 +1,10 @@
 """The operators' kernels against brute force, without Spark."""
 
+import ctypes
 import random
+import resource
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -10,7 +13,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from waybill.llm import chat, decontam, langid, ngram_join, packing, substrings, tokens, toxicity, warc, words
+from waybill.llm import chat, decontam, langid, ngram_join, packing, shared, substrings, tokens, toxicity, warc, words
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -287,3 +290,40 @@ def test_warc_members_round_trip(tmp_path):
 
 def test_crc_of_ids_is_of_little_endian_words():
     assert zlib.crc32(np.array([1, 2], "<u4").tobytes()) == zlib.crc32(b"\1\0\0\0\2\0\0\0")
+
+
+def _resident() -> int:
+    return int(Path("/proc/self/statm").read_text().split()[1]) * resource.getpagesize()
+
+
+@pytest.mark.skipif(not hasattr(ctypes.CDLL(None), "malloc_trim"), reason="the C library cannot give memory back")
+@pytest.mark.parametrize("ends", ["whole", "early"])
+def test_lean_body_gives_freed_memory_back(ends):
+    after = []
+
+    def body(batches):
+        rows = [bytearray(20_000) for _ in range(10_000)]
+        after.append(rows[-1])  # what lives on top of the heap keeps all below it
+        yield from batches
+
+    run = shared.lean(body)(iter([1, 2]))
+    assert next(run) == 1
+    full = _resident()
+    if ends == "early":
+        run.close()
+    else:
+        assert list(run) == [2]
+    assert full - _resident() > 100_000_000
+
+
+def test_texts_are_cut_to_small_slices_for_shingles_and_languages(monkeypatch):
+    texts = [f"a b c d e f {i} " * 4000 for i in range(40)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(40)), "text": pa.array(texts)})
+    seen = []
+    function = lambda batch, a, b, s: iter([(a, b, len(s.rows))])
+    whole = ngram_join.sets_of
+    monkeypatch.setattr(ngram_join, "sets_of", lambda data, offsets: seen.append(len(data)) or whole(data, offsets))
+    found = list(ngram_join._batches([batch], function))
+    assert [f[0] for f in found] == [0] + [f[1] for f in found[:-1]] and found[-1][1] == 40
+    assert sum(f[2] for f in found) == 40
+    assert max(seen) <= 1 << 19 and sum(seen) == sum(map(len, texts))

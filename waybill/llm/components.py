@@ -70,7 +70,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     edges = links.select(F.col(a).alias("a"), F.col(b).alias("b")).where(F.col("a") != F.col("b"))
     parts = -(-max(1, edges.count()) // PART_LINKS)
-    edges = shared.kept(edges.coalesce(parts).mapInArrow(_forests, "a long, b long"))
+    edges = shared.kept(edges.coalesce(parts).mapInArrow(shared.lean(_forests), "a long, b long"))
     before = None
     while parts > 1:
         edges = shared.kept(_star(_star(edges, True), False))

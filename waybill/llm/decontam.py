@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waybill.llm import words
+from waybill.llm import shared, words
 
 PERMUTATIONS = 64
 CHUNK_SHINGLES = 1 << 20
@@ -184,7 +184,7 @@ def contained(
                     kinds = {"containment": pa.float64()}
                     yield pa.RecordBatch.from_pydict(found, pa.schema([(c, kinds.get(c, pa.int64())) for c in found]))
 
-        part = documents.select(*marked).mapInArrow(scan, schema)
+        part = documents.select(*marked).mapInArrow(shared.lean(scan), schema)
         out = part if out is None else out.unionByName(part)
     return out
 

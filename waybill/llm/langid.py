@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from waybill.llm import words
+from waybill.llm import shared, words
 
 BITS = 13
 PER_LANGUAGE = 400
@@ -184,7 +184,7 @@ def fit(documents: DataFrame, per_language: int = PER_LANGUAGE, count: int | Non
                 data = zlib.compress(profile(text.encode()).astype(np.float32).tobytes(), 1)
                 yield pa.RecordBatch.from_pydict({"lang": [lang], "profile": pa.array([data], pa.binary())})
 
-    found = rows.select("lang", "text").mapInArrow(profiles, "lang string, profile binary").toArrow()
+    found = rows.select("lang", "text").mapInArrow(shared.lean(profiles), "lang string, profile binary").toArrow()
     if not found.num_rows:
         return Model()
     matrix = np.empty((found.num_rows, 1 << BITS), np.float32)
@@ -213,7 +213,7 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
             data, offsets = words.utf8(batch.column(3))
             names, scores = np.full(batch.num_rows, NONE, object), np.zeros(batch.num_rows)
             if model.groups:
-                for a, b in words.slices(offsets):
+                for a, b in words.slices(offsets, words.SMALL_SLICE_BYTES):
                     names[a:b], scores[a:b] = decide(model, margins(model, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]))
             blank = ~batch.column(2).to_numpy(zero_copy_only=False)
             names[blank], scores[blank] = NONE, 0.0
@@ -222,7 +222,7 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
                 ["doc_id", "held_out", "lang_pred", "score"],
             )
 
-    return rows.mapInArrow(score, "doc_id long, held_out boolean, lang_pred string, score double")
+    return rows.mapInArrow(shared.lean(score), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 def identified(documents: DataFrame, model: Model) -> DataFrame:
@@ -240,8 +240,9 @@ def identified(documents: DataFrame, model: Model) -> DataFrame:
     def language(text: pd.Series) -> pd.Series:
         data, offsets = words.utf8(pa.array(text, pa.string()))
         names = np.full(len(text), NONE, object)
-        for a, b in words.slices(offsets):
+        for a, b in words.slices(offsets, words.SMALL_SLICE_BYTES):
             names[a:b], _ = decide(sent.value, margins(sent.value, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]))
+        shared.release()
         return pd.Series(names)
 
     return written.withColumn("lang", language("text"))

@@ -225,7 +225,7 @@ def _batches(rows, function):
     """``mapInArrow`` body: ``function(batch, first row, sets)`` for every slice of ``(doc_id, text)``."""
     for batch in rows:
         data, offsets = words.utf8(batch.column(1))
-        for a, b in words.slices(offsets):
+        for a, b in words.slices(offsets, words.SMALL_SLICE_BYTES):
             yield from function(batch, a, b, sets_of(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]))
 
 
@@ -252,7 +252,7 @@ def rare_lists(members: DataFrame, sets: DataFrame) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], ["place", "n"])
 
     rarity = np.zeros(RARITY, np.int64)
-    counted = chosen.coalesce(parts).mapInArrow(count, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    counted = chosen.coalesce(parts).mapInArrow(shared.lean(count), "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
     rarity[counted["place"].to_numpy()] = counted["n"].to_numpy()
     sent = sets.sparkSession.sparkContext.broadcast(rarity)
 
@@ -281,7 +281,7 @@ def rare_lists(members: DataFrame, sets: DataFrame) -> DataFrame:
                     ["shingle", "name", "n", "place", "head"],
                 )
 
-    entries = shared.kept(chosen.mapInArrow(rarest, "shingle long, name long, n long, place long, head boolean"))
+    entries = shared.kept(chosen.mapInArrow(shared.lean(rarest), "shingle long, name long, n long, place long, head boolean"))
     live = entries.groupBy("shingle").agg(F.count(F.lit(1)).alias("_n"), F.max("head").alias("_head")).where("_n > 1 AND _head").select("shingle")
     return shared.kept(entries.join(live, "shingle"))
 
@@ -334,7 +334,7 @@ def named(documents: DataFrame) -> DataFrame:
         yield from _batches(rows, each)
 
     schema = "doc_id long, mark long, n long, name long, slack long, slack_below long, extra array<struct<band:int,seed:int,one:boolean>>"
-    return shared.kept(documents.mapInArrow(run, schema))
+    return shared.kept(documents.mapInArrow(shared.lean(run), schema))
 
 
 def grouped(documents: DataFrame, buckets: int, extra: list[tuple[int, int, bool]]) -> DataFrame:
@@ -411,8 +411,8 @@ def grouped(documents: DataFrame, buckets: int, extra: list[tuple[int, int, bool
             {"gid": np.repeat(gid, sizes), "name": name[at], "role": role[at].astype(np.int32), "keys": np.repeat(times, sizes).astype(np.int64)}
         )
 
-    packed = documents.mapInArrow(pack, "bucket int, blob binary")
-    met = packed.groupBy("bucket").applyInArrow(meet, "gid long, name long, role int, keys long")
+    packed = documents.mapInArrow(shared.lean(pack), "bucket int, blob binary")
+    met = packed.groupBy("bucket").applyInArrow(shared.lean_group(meet), "gid long, name long, role int, keys long")
     return met.groupBy("gid", "name", "role").agg(F.sum("keys").alias("keys"))
 
 
@@ -452,7 +452,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             keep = pa.array(good, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(count, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(shared.lean(count), "a long, b long")
 
 
 def joined(documents: DataFrame) -> DataFrame:
@@ -500,11 +500,11 @@ def _components(documents: DataFrame) -> tuple[DataFrame, DataFrame | None]:
 
         yield from _batches(batches, each)
 
-    fetched = found.select("doc_id", "text", "_name").mapInArrow(collect, "name long, values binary")
+    fetched = found.select("doc_id", "text", "_name").mapInArrow(shared.lean(collect), "name long, values binary")
     # Sets that only rows without doc_id have are found by their names.
     nowhere = wanted.where("doc_id IS NULL").select("name")
     if not nowhere.isEmpty():
-        unnamed = texts.where("doc_id IS NULL").mapInArrow(collect_all, "name long, values binary")
+        unnamed = texts.where("doc_id IS NULL").mapInArrow(shared.lean(collect_all), "name long, values binary")
         fetched = fetched.unionByName(unnamed.join(nowhere, "name", "left_semi"))
     sets = shared.table(fetched.dropDuplicates(["name"]), "sets")
     central = Window.partitionBy("gid").orderBy(F.desc("seeks"), F.desc("degree"), "name")

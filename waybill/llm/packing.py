@@ -233,7 +233,7 @@ def tokenized(documents: DataFrame, vocabulary: str, end: int = 0, capacity: int
                     [x.split()[0] for x in STAGED.split(", ")],
                 )
 
-    return shared.table(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, STAGED), "tokens")
+    return shared.table(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(shared.lean(run), STAGED), "tokens")
 
 
 def packed(documents: DataFrame, vocabulary: str, end: int = 0, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
@@ -299,4 +299,4 @@ def packed(documents: DataFrame, vocabulary: str, end: int = 0, capacity: int =
     tail = F.expr("substring(ids, cast(2 * (n - length) AS int) + 1, 2 * length)")
     two = staged.where(rest).select("part", "doc_id", "n", "length", "local", tail.alias("ids")).join(rest_base, ["part", "length"])
     two = two.select("doc_id", "n", "length", (F.col("local") + F.col("base")).alias("rank"), "ids")
-    return one.mapInArrow(whole, schema).unionByName(two.mapInArrow(rests, schema))
+    return one.mapInArrow(shared.lean(whole), schema).unionByName(two.mapInArrow(shared.lean(rests), schema))

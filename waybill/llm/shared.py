@@ -1,9 +1,12 @@
-"""Intermediate tables and folders that every executor and the driver can reach."""
+"""Intermediate tables and folders that every executor and the driver can reach, and memory of Python workers."""
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
 from uuid import uuid4
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -33,3 +36,38 @@ def table(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release() -> None:
+    """Give the memory that this process has freed back to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def lean(body: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """A ``mapInArrow`` body that ends with ``release``.
+
+    Spark reuses Python workers, and idle ones would hold what their largest task had taken beside the
+    shuffles and sorts that follow.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from body(batches)
+        finally:
+            release()
+
+    return run
+
+
+def lean_group(body: Callable[[pa.Table], pa.Table]) -> Callable:
+    """An ``applyInArrow`` function that ends with ``release``, as ``lean``."""
+
+    def run(table: pa.Table) -> pa.Table:
+        out = body(table)
+        release()
+        return out
+
+    return run

@@ -215,7 +215,7 @@ def located(texts: DataFrame, buckets: int) -> DataFrame:
         return pa.concat_tables([covered, asked])
 
     schema = "doc long, mark long, starts array<long>, ends array<long>, asks array<long>, grams array<long>"
-    return texts.mapInArrow(scan, "bucket int, blob binary").groupBy("bucket").applyInArrow(meet, schema)
+    return texts.mapInArrow(shared.lean(scan), "bucket int, blob binary").groupBy("bucket").applyInArrow(shared.lean_group(meet), schema)
 
 
 def compared(rows: DataFrame, places: DataFrame, buckets: int) -> DataFrame:
@@ -289,8 +289,8 @@ def compared(rows: DataFrame, places: DataFrame, buckets: int) -> DataFrame:
         .agg(F.flatten(F.collect_list("asks")).alias("asks"), F.flatten(F.collect_list("grams")).alias("grams"))
     )
     sent = rows.join(asks, ["doc", "mark"]).select("doc", "mark", "text", "asks", "grams", "row")
-    cuts = sent.mapInArrow(cut, "bucket int, gram long, doc long, mark long, at long, left short, bytes binary")
-    return cuts.groupBy("bucket").applyInArrow(meet, "doc long, mark long, starts array<long>, ends array<long>")
+    cuts = sent.mapInArrow(shared.lean(cut), "bucket int, gram long, doc long, mark long, at long, left short, bytes binary")
+    return cuts.groupBy("bucket").applyInArrow(shared.lean_group(meet), "doc long, mark long, starts array<long>, ends array<long>")
 
 
 def _anchor_groups(gram: np.ndarray, data: np.ndarray, bounds: np.ndarray, left: np.ndarray) -> np.ndarray:
@@ -402,7 +402,7 @@ def removed(documents: DataFrame) -> DataFrame:
         ]
     )
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>"
-    return rows.mapInArrow(cut, schema)
+    return rows.mapInArrow(shared.lean(cut), schema)
 
 
 def without_repeats(documents: DataFrame) -> DataFrame:
