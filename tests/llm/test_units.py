@@ -3,6 +3,7 @@
 import ctypes
 import random
 import resource
+import tracemalloc
 import zlib
 from pathlib import Path
 
@@ -327,3 +328,20 @@ def test_texts_are_cut_to_small_slices_for_shingles_and_languages(monkeypatch):
     assert [f[0] for f in found] == [0] + [f[1] for f in found[:-1]] and found[-1][1] == 40
     assert sum(f[2] for f in found) == 40
     assert max(seen) <= 1 << 19 and sum(seen) == sum(map(len, texts))
+
+
+def test_training_on_spare_profiles_takes_no_copy_and_gives_the_same_machines():
+    random_ = np.random.default_rng(3)
+    labels = [("ab", "cd", "ef")[i % 3] for i in range(60)]
+    profiles = random_.random((60, 1 << langid.BITS)).astype(np.float32) + np.eye(3, 1 << langid.BITS, dtype=np.float32)[np.arange(60) % 3]
+    kept = profiles.copy()
+    one = langid.train(labels, profiles)
+    assert (profiles == kept).all()
+    tracemalloc.start()
+    two = langid.train(labels, profiles, spare=True)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert one.groups == two.groups and one.pairs == two.pairs
+    for name in ("tables", "bias", "slope"):
+        assert (getattr(one, name) == getattr(two, name)).all()
+    assert peak < 2.6 * profiles.nbytes

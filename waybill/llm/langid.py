@@ -91,16 +91,21 @@ class Model:
     slope: np.ndarray | None = None
 
 
-def train(labels: list[str], profiles: np.ndarray, count: int | None = None) -> Model:
-    """Families from the profiles, a machine per pair of families and per pair of languages in one."""
+def train(labels: list[str], profiles: np.ndarray, count: int | None = None, spare: bool = False) -> Model:
+    """Families from the profiles, a machine per pair of families and per pair of languages in one.
+
+    With ``spare`` the profiles are overwritten, which saves a copy of them.
+    """
     names = sorted(set(labels))
     if not names:
         return Model()
     labels_ = np.array(labels)
     centre = profiles.mean(axis=0)
     scale = 1.0 / (profiles.std(axis=0) + 1e-5)
-    x = (profiles - centre) * scale / math.sqrt(profiles.shape[1])
     groups = families(names, np.stack([profiles[labels_ == n].mean(axis=0) for n in names]), count)
+    x = np.subtract(profiles, centre, out=profiles if spare else None)
+    x *= scale
+    x /= math.sqrt(profiles.shape[1])
     pairs = [(tuple(a), tuple(b)) for a, b in combinations(groups, 2)]
     pairs += [((a,), (b,)) for g in groups for a, b in combinations(g, 2)]
     tables, bias, slope = [], [], []
@@ -108,8 +113,9 @@ def train(labels: list[str], profiles: np.ndarray, count: int | None = None) ->
         left, right = np.isin(labels_, a), np.isin(labels_, b)
         rows = left | right
         y = np.where(left[rows], 1.0, -1.0)
-        w, b0 = svm(x[rows], y)
-        margin = x[rows] @ w + b0
+        part = x if rows.all() else x[rows]
+        w, b0 = svm(part, y)
+        margin = part @ w + b0
         fold = w * scale / math.sqrt(profiles.shape[1])
         tables.append(fold)
         bias.append(b0 - float(centre @ fold))
@@ -190,7 +196,10 @@ def fit(documents: DataFrame, per_language: int = PER_LANGUAGE, count: int | Non
     matrix = np.empty((found.num_rows, 1 << BITS), np.float32)
     for row, data in zip(matrix, found["profile"]):
         row[:] = np.frombuffer(zlib.decompress(data.as_buffer()), np.float32)
-    return train(found["lang"].to_pylist(), matrix, count)
+    model = train(found["lang"].to_pylist(), matrix, count, spare=True)
+    del matrix
+    shared.release()
+    return model
 
 
 def predict(documents: DataFrame, model: Model) -> DataFrame:
