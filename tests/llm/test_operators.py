@@ -4,9 +4,11 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 from itertools import combinations
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -14,7 +16,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from waybill.llm import ann, bpe, chat, components, decontam, importance, langid, ngram_join, phrases, sharding, substrings
+from waybill.llm import ann, bpe, chat, components, decontam, importance, langid, ngram_join, phrases, shared, sharding, substrings
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 DOCS = "doc_id long, text string, lang string, ids string, n long, part string"
@@ -226,6 +228,29 @@ def test_representatives_keep_one_text_of_each_component(spark):
     assert ngram_join.representatives(docs(spark, [])).count() == 0
 
 
+def test_representatives_shuffle_the_texts_once(spark):
+    plan = ngram_join.representatives(docs(spark, [(1, "a b c", "x"), (1, "a b c", "x")]))._jdf.queryExecution().executedPlan().toString().splitlines()
+    partial = next(k for k, line in enumerate(plan) if "partial_first(text" in line)
+    assert not any("Exchange" in line for line in plan[partial - 2 : partial])
+
+
+def test_kept_tables_leave_no_shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    files = lambda: {p.name for d in folders for p in Path(d).rglob("shuffle_*")}
+    rows = spark.range(1000).select(F.col("id").alias("doc_id"), (F.col("id") % 7).alias("n"))
+    setting = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    before = files()
+    sums = shared.kept(rows.groupBy("n").agg(F.sum("doc_id").alias("s")).orderBy("s"))
+    again = shared.table(rows.groupBy("n").agg(F.sum("doc_id").alias("s")).orderBy("s"), "sums")
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before
+    assert sums.collect() == again.orderBy("s").collect() and sums.count() == 7
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == setting
+
+
 def test_components(spark):
     rng = random.Random(3)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(k, k + 1) for k in range(1000, 1060)]

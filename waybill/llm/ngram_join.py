@@ -42,6 +42,7 @@ HOT_SETS = 32
 RARITY = 1 << 18
 #: Shingles that one task counts into such a table, on average.
 COUNTED = 500_000
+PLACE = "struct<doc_id:bigint,mark:bigint>"
 _SEGMENT = np.uint64(0x2545F4914F6CDD1D)
 _BAND = np.uint64(0x9FB21C651E98DF25)
 _KIND = np.uint64(0xA0761D6478BD642F)
@@ -571,11 +572,11 @@ def representatives(documents: DataFrame) -> DataFrame:
     ours = F.col("doc_id").eqNullSafe(F.col("_low"))
     chosen = known.where(ours).groupBy("part", "doc_id").agg(F.min("mark").alias("mark")).select("doc_id", "mark")
     empty = rows.where("part IS NULL").select("doc_id", "mark")
-    keep = chosen.unionByName(empty.where("doc_id IS NOT NULL")).distinct().select(F.col("doc_id").alias("_doc"), F.col("mark").alias("_by"))
-    mark = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    marked = documents.withColumns({"_ours": F.col("doc_id").cast("long"), "_mark": mark})
-    same = F.col("_ours").eqNullSafe(F.col("_doc")) & (F.col("_mark") == F.col("_by"))
-    first = marked.join(keep, same, "left_semi").dropDuplicates(["_ours", "_mark"]).select(documents.columns)
+    keep = chosen.unionByName(empty.where("doc_id IS NOT NULL")).distinct().select(F.struct("doc_id", "mark").cast(PLACE).alias("_place"))
+    place = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("mark"))
+    # One column of one type, so that the join and the choice among repeated rows need one shuffle of the texts.
+    marked = documents.withColumn("_place", place.cast(PLACE))
+    first = marked.join(keep, "_place", "left_semi").dropDuplicates(["_place"]).select(documents.columns)
     blank = empty.where("doc_id IS NULL").select("mark").distinct().select(F.col("mark").alias("_by"))
-    alone = marked.where("_ours IS NULL").join(blank, F.col("_mark") == F.col("_by"), "left_semi")
+    alone = marked.where("doc_id IS NULL").join(blank, F.col("_place.mark") == F.col("_by"), "left_semi")
     return first.unionByName(alone.select(documents.columns))

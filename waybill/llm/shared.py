@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+#: Spark's setting that removes the shuffle files of a query when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; if unset, one under the session's warehouse."""
@@ -25,16 +29,29 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid4().hex}"
 
 
+@contextmanager
+def _without_shuffle_files(spark: SparkSession) -> Iterator[None]:
+    """Queries built and run inside lose their shuffle files with their last job, not when the driver collects garbage."""
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 def kept(df: DataFrame) -> DataFrame:
-    """``df`` computed once; Spark removes the files with the last reference if it is set to."""
+    """``df`` computed once, its shuffles then removed; Spark removes the files with the last reference if it is set to."""
     shared_folder(df.sparkSession)
-    return df.checkpoint()
+    with _without_shuffle_files(df.sparkSession):
+        return df.select("*").checkpoint()
 
 
 def table(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as compressed Parquet in the shared folder and read again."""
+    """``df`` written once as compressed Parquet in the shared folder, its shuffles then removed, and read again."""
     path = new_folder(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    with _without_shuffle_files(df.sparkSession):
+        df.select("*").write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -64,7 +64,7 @@ def mixed(h: np.ndarray) -> np.ndarray:
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first ``n`` powers of the hash base and of its inverse modulo 2**64."""
     if len(_powers[0]) < n:
-        size = max(n, SLICE_BYTES + 1)
+        size = -(-max(1, n - 1) // SMALL_SLICE_BYTES) * SMALL_SLICE_BYTES + 1
         for k, base in enumerate((_BASE, _INVERSE)):
             run = np.full(size, base, np.uint64)
             run[0] = 1
