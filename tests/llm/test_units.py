@@ -330,6 +330,45 @@ def test_texts_are_cut_to_small_slices_for_shingles_and_languages(monkeypatch):
     assert max(seen) <= 1 << 19 and sum(seen) == sum(map(len, texts))
 
 
+def test_passages_are_sought_in_small_slices():
+    class Scan:
+        def mapInArrow(self, body, schema):
+            self.body = body
+            return self
+
+        groupBy = applyInArrow = lambda self, *args: self
+
+    texts = ["".join(random.Random(i).choices("abcdefgh ", k=50_000)) for i in range(40)]
+    batch = pa.RecordBatch.from_pydict({"doc": pa.array(range(40)), "mark": pa.array(range(40)), "text": pa.array(texts)})
+    scan = substrings.located(Scan(), 1).body
+    list(scan([batch.slice(0, 1)]))  # the powers are there from now on
+    tracemalloc.start()
+    (packed,) = scan([batch])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    doc = substrings._unpack(packed, [np.int64, np.int64, np.uint32, np.uint64, np.int64, np.uint8, np.uint8])[0]
+    assert set(doc.tolist()) == set(range(40))
+    assert peak < 50_000_000
+
+
+def test_encoder_loads_the_tokenizer_for_special_tokens_only():
+    from tokenizers import Tokenizer
+
+    mine = tokens.Encoder(VOCABULARY)
+    for text, needed in (("some words", False), ("some <|endoftext|> words", True)):
+        ids, _ = mine.encode(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]))
+        assert ids.tolist() == Tokenizer.from_file(VOCABULARY).encode(text, add_special_tokens=False).ids
+        assert ("whole" in vars(mine)) is needed
+
+
+def test_powers_are_as_long_as_small_slices_need(monkeypatch):
+    monkeypatch.setattr(words, "_powers", [np.ones(1, np.uint64), np.ones(1, np.uint64)])
+    short = [p.copy() for p in words.powers(1000)]
+    assert len(words._powers[0]) == words.SMALL_SLICE_BYTES + 1
+    for one, other in zip(short, words.powers(words.SLICE_BYTES + 1)):
+        assert len(other) == words.SLICE_BYTES + 1 and (one == other[:1000]).all()
+
+
 def test_training_on_spare_profiles_takes_no_copy_and_gives_the_same_machines():
     random_ = np.random.default_rng(3)
     labels = [("ab", "cd", "ef")[i % 3] for i in range(60)]

@@ -206,7 +206,7 @@ def tokenized(documents: DataFrame, vocabulary: str, end: int = 0, capacity: int
         part, full, seen = TaskContext.get().partitionId(), 0, np.zeros(capacity, np.int64)
         for batch in batches:
             data, offsets = words.utf8(batch.column(1))
-            for a, b in words.slices(offsets, 2 * words.SLICE_BYTES):
+            for a, b in words.slices(offsets, words.SLICE_BYTES // 2):
                 ids, first = encoder.encode(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 out = {name: [] for name in ("n", "full_before", "length", "local", "ids")}
                 tail = np.array([end], np.uint16).tobytes()

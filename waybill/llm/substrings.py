@@ -25,7 +25,7 @@ LENGTH = 100
 GRAM = 16
 SPAN = LENGTH - GRAM + 1
 BUCKET_BYTES = 24_000_000
-BUCKET_ASKS = 12_000
+BUCKET_ASKS = 6_000
 _CODES = np.random.default_rng(100).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _LAST = np.iinfo(np.int64).max
 
@@ -154,39 +154,39 @@ def located(texts: DataFrame, buckets: int) -> DataFrame:
     Of equal surroundings, in order of document and place, all but the first are covered.
     """
 
+    def found(doc: np.ndarray, mark: np.ndarray, part: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
+        """Bucket, document, gram, surroundings, place and reach of the anchors of a slice."""
+        prefix = words.prefix_hash(part, _CODES)
+        at = anchors(part, prefix)
+        row = np.searchsorted(bounds, at, "right") - 1
+        inside = at + GRAM <= bounds[row + 1]
+        at, row = at[inside], row[inside]
+        left, right = np.maximum(bounds[row], at - SPAN + 1), np.minimum(bounds[row + 1], at + LENGTH)
+        whole = right - left >= LENGTH
+        at, row, left, right = at[whole], row[whole], left[whole], right[whole]
+        gram = words.span_hash(prefix, at, at + GRAM)
+        return [
+            ((gram >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64),
+            doc[row],
+            mark[row],
+            (gram & np.uint64(0xFFFFFFFF)).astype(np.uint32),
+            words.mixed(words.span_hash(prefix, left, right) + (at - left).astype(np.uint64)),
+            (at - bounds[row]).astype(np.int64),
+            (at - left).astype(np.uint8),
+            (right - at).astype(np.uint8),
+        ]
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Small slices bound what a task holds; the anchors of several are packed together."""
         for batch in batches:
             doc, mark = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             data, offsets = words.utf8(batch.column(2))
-            for a, b in words.slices(offsets):
-                part, bounds = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
-                prefix = words.prefix_hash(part, _CODES)
-                at = anchors(part, prefix)
-                row = np.searchsorted(bounds, at, "right") - 1
-                inside = at + GRAM <= bounds[row + 1]
-                at, row = at[inside], row[inside]
-                left, right = np.maximum(bounds[row], at - SPAN + 1), np.minimum(bounds[row + 1], at + LENGTH)
-                whole = right - left >= LENGTH
-                at, row, left, right = at[whole], row[whole], left[whole], right[whole]
-                if not len(at):
-                    continue
-                gram = words.span_hash(prefix, at, at + GRAM)
-                around = words.mixed(words.span_hash(prefix, left, right) + (at - left).astype(np.uint64))
-                bucket = ((gram >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-                start = bounds[row]
-                yield _pack(
-                    bucket,
-                    buckets,
-                    [
-                        doc[a + row],
-                        mark[a + row],
-                        (gram & np.uint64(0xFFFFFFFF)).astype(np.uint32),
-                        around,
-                        (at - start).astype(np.int64),
-                        (at - left).astype(np.uint8),
-                        (right - at).astype(np.uint8),
-                    ],
-                )
+            for x, y in words.slices(offsets):
+                inner = words.slices(offsets[x : y + 1] - offsets[x], words.SMALL_SLICE_BYTES)
+                parts = [found(doc[x + a : x + b], mark[x + a : x + b], data[offsets[x + a] : offsets[x + b]], offsets[x + a : x + b + 1] - offsets[x + a]) for a, b in inner]
+                bucket, *columns = (np.concatenate(c) for c in zip(*parts))
+                if len(bucket):
+                    yield _pack(bucket, buckets, columns)
 
     def meet(table: pa.Table) -> pa.Table:
         bucket = table["bucket"][0].as_py()

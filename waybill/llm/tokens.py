@@ -10,7 +10,7 @@ from __future__ import annotations
 import base64
 import sys
 import unicodedata
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from pathlib import Path
 
 import numpy as np
@@ -82,9 +82,8 @@ class Encoder:
 
     def __init__(self, path: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.whole = Tokenizer.from_file(path)
+        self.path = path
         lines = Path(path).with_suffix(".tiktoken").read_bytes().splitlines()
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.parts = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
@@ -93,6 +92,13 @@ class Encoder:
             self.sizes[rank] = len(token)
         self._clear()
 
+    @cached_property
+    def whole(self):
+        """The tokenizer itself; few texts need it."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def _clear(self) -> None:
         self.keys, self.at, self.n = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
         self.pool = np.empty(0, np.uint16)
